@@ -64,7 +64,9 @@ REFERENCE = Settings()
 TESTDATA = Settings(
     calendar_start=dt.date(1995, 1, 1),
     calendar_end=dt.date(2001, 6, 30),
-    plan_start=dt.date(1995, 1, 1),
-    plan_end=dt.date(2001, 6, 30),
+    # The plan reaches past both ends of the landed months, so coverage
+    # reports both statuses.
+    plan_start=dt.date(1994, 7, 1),
+    plan_end=dt.date(2002, 6, 30),
     focus_year=1998,
 )

@@ -25,17 +25,17 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:
-    """``value, rows`` for each non-NULL value held by more than one row.
+    """``value, row_count`` for each non-NULL value held by more than one row.
     A combinable count: a hot value is pre-counted on every map task."""
     return (df.where(c(column).isNotNull()).groupBy(c(column).alias("value"))
-            .agg(F.count(F.lit(1)).alias("rows")).where(c("rows") > 1))
+            .agg(F.count(F.lit(1)).alias("row_count")).where(c("row_count") > 1))
 
 
 def accepted_values(df: DataFrame, column: str, values: Iterable) -> DataFrame:
-    """``value, rows`` for each non-NULL value not in ``values``."""
+    """``value, row_count`` for each non-NULL value not in ``values``."""
     vals = list(values)
     return (df.where(c(column).isNotNull() & ~c(column).isin(vals))
-            .groupBy(c(column).alias("value")).agg(F.count(F.lit(1)).alias("rows")))
+            .groupBy(c(column).alias("value")).agg(F.count(F.lit(1)).alias("row_count")))
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
@@ -72,14 +72,14 @@ def failing(check: Check, models: dict[str, DataFrame]) -> DataFrame:
 
 
 def failure_count(check: Check, models: dict[str, DataFrame]) -> DataFrame:
-    """One row: ``model, check, column, failures`` (failing rows, or for
+    """One row: ``model, check_name, column_name, failures`` (failing rows, or for
     unique/accepted_values the rows carrying a failing value)."""
     f = failing(check, models)
-    n = (F.coalesce(F.sum("rows"), F.lit(0)) if check.kind in ("unique", "accepted_values")
+    n = (F.coalesce(F.sum("row_count"), F.lit(0)) if check.kind in ("unique", "accepted_values")
          else F.count(F.lit(1)))
     return f.agg(n.cast("bigint").alias("failures")).select(
-        F.lit(check.model).alias("model"), F.lit(check.kind).alias("check"),
-        F.lit(check.column).alias("column"), "failures")
+        F.lit(check.model).alias("model"), F.lit(check.kind).alias("check_name"),
+        F.lit(check.column).alias("column_name"), "failures")
 
 
 def run_checks(spark: SparkSession, checks: Sequence[Check],

@@ -116,4 +116,4 @@ def silver_rejects(yellow: DataFrame, green: DataFrame, zones_bronze: DataFrame,
     aggs += [F.count_if(~F.coalesce(kept, F.lit(False))).alias("rejected"),
              F.count_if(F.coalesce(kept, F.lit(False))).alias("kept")]
     one = flagged.agg(*aggs)
-    return one.unpivot([], list(REJECT_REASONS), "reason", "rows")
+    return one.unpivot([], list(REJECT_REASONS), "reason", "row_count")

@@ -15,32 +15,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import TESTDATA, Settings
+from tripmart.functions.columns import MONEY, MONEY_SUM
 from tripmart.operators import bronze as B
+from tripmart.operators import checks as K
 from tripmart.operators import gold as G
+from tripmart.operators import impute as I
 from tripmart.operators import silver as S
 from tripmart.plans.questions import QUESTIONS
+from tripmart.session import new_table_path
 from tripmart.sources import fixtures
+from tripmart.sources import landing as L
+from tripmart.sources import tables as T
+
+REPAIRED = ("vendorid", "passenger_count", "pulocationid", "dolocationid", "ratecodeid",
+            "payment_type")
 
 c = F.col
 
 
+@dataclass
+class Bronze:
+    yellow: DataFrame
+    green: DataFrame
+    zones: DataFrame       # lookup
+
+
 @dataclass
 class Layers:
-    yellow: DataFrame      # bronze
-    green: DataFrame       # bronze
-    zones: DataFrame       # bronze lookup
+    bronze: Bronze
     silver: DataFrame
     star: G.Star
 
 
-def layers(spark: SparkSession, sf_dir: str, settings: Settings = TESTDATA) -> Layers:
+def bronze_layers(spark: SparkSession, sf_dir: str) -> Bronze:
     land = fixtures.landing(spark, sf_dir)
-    yellow = B.to_bronze_trips(land.yellow, "yellow")
-    green = B.to_bronze_trips(land.green, "green")
-    zones = B.to_bronze_zones(land.zones)
-    silver = S.silver_trips(yellow, green, zones, settings.broadcast_max_rows)
-    star = G.build_star(spark, silver, zones, settings)
-    return Layers(yellow, green, zones, silver, star)
+    return Bronze(B.to_bronze_trips(land.yellow, "yellow"),
+                  B.to_bronze_trips(land.green, "green"),
+                  B.to_bronze_zones(land.zones))
+
+
+def layers(spark: SparkSession, sf_dir: str, settings: Settings = TESTDATA) -> Layers:
+    b = bronze_layers(spark, sf_dir)
+    silver = S.silver_trips(b.yellow, b.green, b.zones, settings.broadcast_max_rows)
+    star = G.build_star(spark, silver, b.zones, settings)
+    return Layers(b, silver, star)
 
 
 def _question(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -54,4 +72,236 @@ def _question(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def register(fn):
+    REGISTRY[fn.__name__] = fn
+    return fn
+
+
+# Sources and bronze (B1-B13) ------------------------------------------------
+
+@register
+def load_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month starts x services between the first and last ship date landed."""
+    li = fixtures.read_table(spark, sf_dir, "lineitem")
+    bounds = li.agg(F.min("l_shipdate").cast("date").alias("start_date"),
+                    F.max("l_shipdate").cast("date").alias("end_date"))
+    return L.load_plan_from(bounds)
+
+
+@register
+def bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both bronze tables (ingest columns, lower-case names, integer repair),
+    without the wall-clock ``ingest_ts``."""
+    b = bronze_layers(spark, sf_dir)
+    return (b.yellow.drop("ingest_ts")
+            .unionByName(b.green.drop("ingest_ts"), allowMissingColumns=True))
+
+
+@register
+def bronze_int_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per service: rows, and for each repaired integer column its non-NULL
+    count and sum (the columns are ``bigint`` after repair)."""
+    b = bronze_layers(spark, sf_dir)
+    both = b.yellow.unionByName(b.green, allowMissingColumns=True)
+    aggs = [F.count(F.lit(1)).alias("trips")]
+    for col in REPAIRED:
+        aggs += [F.count(col).alias(f"{col}_n"), F.sum(col).alias(f"{col}_sum")]
+    return both.groupBy("service_type").agg(*aggs)
+
+
+@register
+def bronze_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load every month of both services twice into bronze tables under the
+    shared folder, read them back, and count rows per loaded month: the
+    second load replaces the first instead of adding to it."""
+    b = bronze_layers(spark, sf_dir)
+    root = new_table_path(spark, "bronze_reload")
+    for _ in range(2):
+        for svc, df in (("yellow", b.yellow), ("green", b.green)):
+            B.load_months(spark, df, f"{root}/{svc}_tripdata")
+    back = [T.read_table(spark, f"{root}/{svc}_tripdata").select(
+        "service_type", "source_month", "total_amount") for svc in ("yellow", "green")]
+    both = back[0].unionByName(back[1])
+    return both.groupBy("service_type", "source_month").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.sum(F.col("total_amount").cast(MONEY)).cast(MONEY_SUM).alias("revenue"))
+
+
+@register
+def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planned month x service -> loaded / missing, against bronze."""
+    s = TESTDATA
+    plan = L.load_plan(spark, s.plan_start, s.plan_end)
+    b = bronze_layers(spark, sf_dir)
+    loaded = B.loaded_months(b.yellow).unionByName(B.loaded_months(b.green))
+    return B.coverage(plan, loaded)
+
+
+# Silver (P1-P5, U1, J1) -------------------------------------------------------
+
+@register
+def silver_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.project_service(bronze_layers(spark, sf_dir).yellow, "tpep")
+
+
+@register
+def silver_green(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.project_service(bronze_layers(spark, sf_dir).green, "lpep")
+
+
+@register
+def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layers(spark, sf_dir).silver
+
+
+@register
+def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = bronze_layers(spark, sf_dir)
+    return S.silver_rejects(b.yellow, b.green, b.zones, TESTDATA.broadcast_max_rows)
+
+
+# Gold (G1-G6, B24, B27-B29, P12) ------------------------------------------------
+
+def _with_trips(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str) -> DataFrame:
+    """A dimension with the number of fact rows per member (0 when none):
+    the fact is reduced to one row per key before the join."""
+    counts = fact.groupBy(F.col(fact_key).alias("_k")).agg(F.count(F.lit(1)).alias("_trips"))
+    return (dim.join(counts, dim[dim_key] == counts["_k"], "left")
+            .select(*[dim[x] for x in dim.columns],
+                    F.coalesce(F.col("_trips"), F.lit(0)).cast("bigint").alias("trips")))
+
+
+@register
+def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = layers(spark, sf_dir).star
+    d = star.dim_date.select(*G.DATE_COLUMNS)
+    return _with_trips(d, star.fct, "date_key", "pickup_date_key")
+
+
+@register
+def dim_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.dim_zone(bronze_layers(spark, sf_dir).zones)
+
+
+@register
+def dim_service_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = layers(spark, sf_dir).star
+    return _with_trips(star.dim_service_type, star.fct, "service_id", "service_key")
+
+
+@register
+def dim_payment_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = layers(spark, sf_dir).star
+    return _with_trips(star.dim_payment_type, star.fct, "payment_type_key", "payment_type_key")
+
+
+@register
+def dim_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = layers(spark, sf_dir).star
+    return _with_trips(star.dim_vendor, star.fct, "vendor_key", "vendor_key")
+
+
+@register
+def fct_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layers(spark, sf_dir).star.fct.select(*G.FACT_COLUMNS)
+
+
+@register
+def fct_key_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source codes -> dimension keys, with trips per combination."""
+    silver = layers(spark, sf_dir).silver
+    service, payment, vendor = G.key_mapping()
+    return (silver.groupBy("service_type", "payment_type", "vendor_id")
+            .agg(F.count(F.lit(1)).alias("trips"))
+            .select("service_type", "payment_type", "vendor_id",
+                    service.cast("int").alias("service_key"),
+                    payment.cast("int").alias("payment_type_key"),
+                    vendor.cast("int").alias("vendor_key"), "trips"))
+
+
+@register
+def fct_rows_per_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the fact range-partitioned by month, read it back, rows per month."""
+    fct = layers(spark, sf_dir).star.fct
+    path = new_table_path(spark, "fct_trips")
+    T.write_table(fct, path, partition_by=("pickup_month",), rebalance=("pickup_month",))
+    back = T.read_table(spark, path, schema=fct.schema)
+    return back.groupBy("pickup_month").agg(F.count(F.lit(1)).alias("trips"))
+
+
+@register
+def month_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.month_bounds(layers(spark, sf_dir).silver)
+
+
+@register
+def partition_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per declared month partition, or ``default`` outside the range."""
+    fct = layers(spark, sf_dir).star.fct
+    route = G.partition_route("pickup_date", TESTDATA).alias("partition_name")
+    return fct.groupBy(route).agg(F.count(F.lit(1)).alias("trips"))
+
+
+# Checks (C1-C5, J7, A11) -----------------------------------------------------
+
+@register
+def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver trips with no passenger count."""
+    return K.not_null(layers(spark, sf_dir).silver, "passengers_count")
+
+
+@register
+def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact surrogate keys held by more than one trip."""
+    return K.unique(layers(spark, sf_dir).star.fct, "trip_key")
+
+
+@register
+def check_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver vendor codes outside the vendor dimension's known codes."""
+    return K.accepted_values(layers(spark, sf_dir).silver, "vendor_id", (1, 2))
+
+
+@register
+def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows whose pickup date key is not in the calendar."""
+    star = layers(spark, sf_dir).star
+    fct = star.fct.select(*G.FACT_COLUMNS)
+    return K.relationships(fct, "pickup_date_key", star.dim_date, "date_key")
+
+
+@register
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's declared test suite on the real model names."""
+    ly = layers(spark, sf_dir)
+    models = {
+        "silver_trips": ly.silver, "zone_lookup": ly.bronze.zones,
+        "dim_service_type": ly.star.dim_service_type,
+        "dim_payment_type": ly.star.dim_payment_type,
+        "dim_zone": ly.star.dim_zone, "dim_date": ly.star.dim_date,
+        "fct_trips": ly.star.fct,
+    }
+    return K.run_checks(spark, K.REFERENCE_SUITE, models)
+
+
+# Imputation (A12, T1) --------------------------------------------------------
+
+NUMERIC_FACT_COLUMNS = ("passengers_count", "trip_distance", "fare_amount", "tip_amount",
+                        "tolls_amount", "total_amount")
+
+
+@register
+def upper_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fct = layers(spark, sf_dir).star.fct
+    return I.upper_median_row(fct, NUMERIC_FACT_COLUMNS)
+
+
+@register
+def median_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fct = layers(spark, sf_dir).star.fct.select("trip_key", *NUMERIC_FACT_COLUMNS)
+    return I.median_fill(fct, NUMERIC_FACT_COLUMNS)
+
+
 REGISTRY.update({name: _question(name) for name in QUESTIONS})

@@ -61,8 +61,11 @@ def save_bucketed(df: DataFrame, table: str, buckets: int, key: str,
     w.saveAsTable(table)
 
 
-def read_table(spark: SparkSession, path: str, base_path: str | None = None) -> DataFrame:
-    r = spark.read
+def read_table(spark: SparkSession, path: str, base_path: str | None = None,
+               schema=None) -> DataFrame:
+    """Read a Parquet table; with ``schema`` the partition columns get the
+    written types instead of inferred ones."""
+    r = spark.read if schema is None else spark.read.schema(schema)
     if base_path:
         r = r.option("basePath", base_path)
     return r.parquet(path)
