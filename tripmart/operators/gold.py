@@ -51,7 +51,10 @@ def dim_date(spark: SparkSession, settings: Settings) -> DataFrame:
 
 
 def _literal_dim(spark: SparkSession, rows: dict, key: str, name: str) -> DataFrame:
-    return spark.createDataFrame(sorted(rows.items()), f"{key} int, {name} string")
+    """A small fixed relation built on the JVM side (no Python worker)."""
+    structs = [F.struct(F.lit(k).cast("int").alias(key), F.lit(v).cast("string").alias(name))
+               for k, v in sorted(rows.items())]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def dim_service_type(spark: SparkSession) -> DataFrame:
