@@ -105,24 +105,27 @@ def load_months(spark: SparkSession, df: DataFrame, path: str) -> dict:
 
 def read_landing_months(spark: SparkSession, files: list[tuple[str, str, str]],
                         service: str) -> DataFrame | None:
-    """Read the planned month files of one service, each aligned to the first
-    file's bronze schema before the union (files may drift in type or columns)."""
-    frames = []
-    target: StructType | None = None
-    for svc, month, path in files:
-        if svc != service:
-            continue
-        bronze = to_bronze_trips(spark.read.parquet(path), service, month)
-        if target is None:
-            target = bronze.schema
-            frames.append(bronze)
-        else:
-            frames.append(align_to(bronze, target)[0])
-    if not frames:
+    """Read the planned month files of one service.
+
+    Files are grouped by their physical schema (footers are read on the
+    driver; no data) and each group is one multi-path read, so a thousand
+    files with two schema versions make two scans, not a thousand-way union.
+    ``source_month`` comes from the file name. Every group is aligned to the
+    first file's bronze schema before the union (files drift in type and columns)."""
+    groups: dict[str, list[str]] = {}
+    for svc, _month, path in files:
+        if svc == service:
+            groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    if not groups:
         return None
+    month = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4}-\d{2})\.parquet$", 1)
+    frames = [to_bronze_trips(spark.read.parquet(*paths).withColumn("source_month", month),
+                              service)
+              for paths in groups.values()]
+    target = frames[0].schema
     out = frames[0]
     for f in frames[1:]:
-        out = out.unionByName(f)
+        out = out.unionByName(align_to(f, target)[0])
     return out
 
 

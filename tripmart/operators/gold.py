@@ -161,14 +161,18 @@ def build_star(spark: SparkSession, silver: DataFrame, zones_bronze: DataFrame,
                 settings)
 
 
-def write_star(spark: SparkSession, star: Star, path: str) -> Star:
+def write_star(spark: SparkSession, star: Star, path: str, rebalance: bool = False) -> Star:
     """Materialize the star under ``path`` and return it read back.
 
-    The fact is partitioned by ``pickup_month`` with a REBALANCE on it: AQE
-    splits a hot month over several tasks and packs small months together.
+    The fact is partitioned by ``pickup_month``. By default the write is
+    map-only: bronze is partitioned by ``source_month``, so every input split
+    holds (almost) one month and writes one file, with no shuffle of the fact.
+    ``rebalance=True`` adds a REBALANCE on the month for inputs that are not
+    clustered by month: AQE then splits a hot month over several tasks and
+    packs small months together, at the price of one shuffle of the fact.
     Dimensions are full replaces (the reference truncates and appends)."""
     T.write_table(star.fct, f"{path}/fct_trips", partition_by=("pickup_month",),
-                  rebalance=("pickup_month",), observe="fct_trips")
+                  rebalance=("pickup_month",) if rebalance else None, observe="fct_trips")
     T.write_table(star.dim_date, f"{path}/dim_date", observe="dim_date")
     T.write_table(star.dim_zone, f"{path}/dim_zone", observe="dim_zone")
     T.write_table(star.dim_service_type, f"{path}/dim_service_type",

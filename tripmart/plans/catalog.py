@@ -129,6 +129,28 @@ def bronze_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.col("total_amount").cast(MONEY)).cast(MONEY_SUM).alias("revenue"))
 
 
+@register
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land every month file of both services (``source_month=`` folders),
+    ingest them with an available-now stream into bronze, read back and count
+    rows per month: the streaming path loads exactly what the batch path does."""
+    from tripmart.streaming import start_ingest
+
+    land = fixtures.landing(spark, sf_dir)
+    root = new_table_path(spark, "stream_ingest")
+    for svc, df in (("yellow", land.yellow), ("green", land.green)):
+        df.write.mode("overwrite").partitionBy("source_month").parquet(f"{root}/landing/{svc}")
+        q = start_ingest(spark, f"{root}/landing/{svc}", svc, f"{root}/bronze/{svc}_tripdata",
+                         f"{root}/checkpoints/{svc}")
+        q.awaitTermination()
+    back = [T.read_table(spark, f"{root}/bronze/{svc}_tripdata").select(
+        "service_type", "source_month", "total_amount") for svc in ("yellow", "green")]
+    both = back[0].unionByName(back[1])
+    return both.groupBy("service_type", "source_month").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.sum(F.col("total_amount").cast(MONEY)).cast(MONEY_SUM).alias("revenue"))
+
+
 @register
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Planned month x service -> loaded / missing, against bronze."""
@@ -226,6 +248,7 @@ def fct_rows_per_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the fact range-partitioned by month, read it back, rows per month."""
     fct = layers(spark, sf_dir).star.fct
     path = new_table_path(spark, "fct_trips")
+    # lineitem is not clustered by month, so the write rebalances on it.
     T.write_table(fct, path, partition_by=("pickup_month",), rebalance=("pickup_month",))
     back = T.read_table(spark, path, schema=fct.schema)
     return back.groupBy("pickup_month").agg(F.count(F.lit(1)).alias("trips"))

@@ -112,6 +112,10 @@ FROM bronze_all""",
         "bronze_reload": """
 SELECT service_type, source_month, COUNT(*) AS trips,
   CAST(SUM(CAST(total_amount AS DECIMAL(10,2))) AS DECIMAL(28,2)) AS revenue
+FROM bronze_all GROUP BY service_type, source_month""",
+        "stream_ingest": """
+SELECT service_type, source_month, COUNT(*) AS trips,
+  CAST(SUM(CAST(total_amount AS DECIMAL(10,2))) AS DECIMAL(28,2)) AS revenue
 FROM bronze_all GROUP BY service_type, source_month""",
         "coverage": f"""
 SELECT p.source_month AS year_month, p.service_type,

@@ -1 +1,3 @@
-"""streaming."""
+"""Structured Streaming: incremental ingest of newly landed month files."""
+
+from tripmart.streaming.ingest import bronze_stream, landing_schema, start_ingest  # noqa: F401
