@@ -42,7 +42,6 @@ def landing_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     ship = F.col("l_shipdate").cast("timestamp_ntz")
     base = ship + _minutes_seconds((ok * 7 + ln * 131) % 1440)
     dropoff = base + _minutes_seconds(F.col("l_quantity").cast("int") - 2, pk % 60)
-    fees = F.col("l_discount") * 100 + F.col("l_tax") * 100
     price = F.col("l_extendedprice")
     prefix = "tpep" if service == "yellow" else "lpep"
     return (
@@ -61,8 +60,9 @@ def landing_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
             F.when(pk % 50 == 0, F.lit(0.0)).otherwise(price).alias("fare_amount"),
             (F.col("l_discount") * 100).alias("tip_amount"),
             (F.col("l_tax") * 100).alias("tolls_amount"),
+            # left to right, as SQL associates it: (price + tip) + tolls
             (F.when((F.col("l_returnflag") == "R") & (ln == 1), -price).otherwise(price)
-             + fees).alias("total_amount"),
+             + F.col("l_discount") * 100 + F.col("l_tax") * 100).alias("total_amount"),
             month_text(ship).alias("source_month"),
         )
     )
