@@ -110,7 +110,7 @@ def read_landing_months(spark: SparkSession, files: list[tuple[str, str, str]],
     Files are grouped by their physical schema (footers are read on the
     driver; no data) and each group is one multi-path read, so a thousand
     files with two schema versions make two scans, not a thousand-way union.
-    ``source_month`` comes from the file name. Every group is aligned to the
+    ``source_month`` comes from the month file (or folder) name. Every group is aligned to the
     first file's bronze schema before the union (files drift in type and columns)."""
     groups: dict[str, list[str]] = {}
     for svc, _month, path in files:
@@ -118,7 +118,7 @@ def read_landing_months(spark: SparkSession, files: list[tuple[str, str, str]],
             groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
     if not groups:
         return None
-    month = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4}-\d{2})\.parquet$", 1)
+    month = F.regexp_extract(F.col("_metadata.file_path"), r"_tripdata_(\d{4}-\d{2})\.parquet", 1)
     frames = [to_bronze_trips(spark.read.parquet(*paths).withColumn("source_month", month),
                               service)
               for paths in groups.values()]

@@ -78,21 +78,25 @@ def trip_file_name(service: str, source_month: str) -> str:
     return TRIP_FILE.format(service=service, month=source_month)
 
 
+TRIP_PATH = r"^(.*/([a-z]+)_tripdata_(\d{4}-\d{2})\.parquet)(/.*)?$"
+
+
 def available_trip_files(spark: SparkSession, landing_dir: str) -> DataFrame:
     """Month files present under ``landing_dir``: path, service_type, source_month.
 
-    Lists with the binaryFile source; only the ``path`` column is selected,
-    so file contents are not read."""
+    A month is a file ``{service}_tripdata_{yyyy-MM}.parquet`` or a folder of
+    that name holding part files (as Spark writes it). Listed with the
+    binaryFile source; only ``path`` is selected, so contents are not read."""
     files = (spark.read.format("binaryFile")
-             .option("pathGlobFilter", "*_tripdata_*.parquet")
+             .option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.parquet")
              .load(landing_dir)
              .select("path"))
-    name = F.regexp_extract("path", r"([a-z]+)_tripdata_(\d{4}-\d{2})\.parquet$", 0)
-    return files.select(
-        "path",
-        F.regexp_extract(name, r"^([a-z]+)_", 1).alias("service_type"),
-        F.regexp_extract(name, r"(\d{4}-\d{2})\.parquet$", 1).alias("source_month"),
-    ).where(F.col("service_type") != "")
+    return (files.where(F.col("path").rlike(TRIP_PATH))
+            .select(F.regexp_extract("path", TRIP_PATH, 1).alias("path"),
+                    F.regexp_extract("path", TRIP_PATH, 2).alias("service_type"),
+                    F.regexp_extract("path", TRIP_PATH, 3).alias("source_month"))
+            .distinct())
 
 
 def planned_files(spark: SparkSession, plan: DataFrame, landing_dir: str) -> list[tuple[str, str, str]]:
