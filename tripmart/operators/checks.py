@@ -17,7 +17,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.config import REFERENCE
+
 c = F.col
+MAX_BROADCAST_ROWS = REFERENCE.broadcast_max_rows
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -38,12 +41,22 @@ def accepted_values(df: DataFrame, column: str, values: Iterable) -> DataFrame:
             .groupBy(c(column).alias("value")).agg(F.count(F.lit(1)).alias("row_count")))
 
 
-def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child rows whose non-NULL ``column`` has no ``field`` in ``parent``.
+def parent_keys(parent: DataFrame, field: str, alias: str,
+                max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                parent_rows: int | None = None) -> DataFrame:
+    """Distinct non-NULL parent keys, broadcast when the parent's row count
+    (an upper bound of its keys; pass ``parent_rows`` if already known) is
+    within the bound; otherwise a shuffle join on the key."""
+    keys = parent.select(c(field).alias(alias)).where(c(alias).isNotNull()).distinct()
+    n = parent.count() if parent_rows is None else parent_rows
+    return F.broadcast(keys) if n <= max_broadcast_rows else keys
+
 
-    A left anti join; the planner broadcasts the parent keys when they are
-    small and shuffles both sides on the key otherwise."""
-    keys = parent.select(c(field).alias("_parent_key")).where(c("_parent_key").isNotNull())
+def relationships(child: DataFrame, column: str, parent: DataFrame, field: str,
+                  max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Child rows whose non-NULL ``column`` has no ``field`` in ``parent``:
+    a left anti join against the parent's key set."""
+    keys = parent_keys(parent, field, "_parent_key", max_broadcast_rows)
     return (child.where(c(column).isNotNull())
             .join(keys, child[column] == keys["_parent_key"], "left_anti"))
 
@@ -82,10 +95,55 @@ def failure_count(check: Check, models: dict[str, DataFrame]) -> DataFrame:
         F.lit(check.column).alias("column_name"), "failures")
 
 
+def _model_summary(model: str, checks: Sequence[Check], df: DataFrame,
+                   models: dict[str, DataFrame], sizes: dict[str, int]) -> DataFrame:
+    """not_null, accepted_values and relationships checks of one model in one
+    scan: every check is a failing-row flag, all flags are counted by one
+    aggregate, and the one result row is unpivoted. A relationship joins the
+    parent's distinct non-NULL keys, so it cannot multiply child rows."""
+    joined, flags = df, {}
+    for i, ch in enumerate(checks):
+        col = c(ch.column)
+        if ch.kind == "not_null":
+            flags[i] = col.isNull()
+        elif ch.kind == "accepted_values":
+            flags[i] = col.isNotNull() & ~col.isin(list(ch.values))
+        elif ch.kind == "relationships":
+            if ch.parent not in sizes:
+                sizes[ch.parent] = models[ch.parent].count()
+            keys = parent_keys(models[ch.parent], ch.field, f"_k{i}",
+                               parent_rows=sizes[ch.parent]).withColumn(f"_ok{i}", F.lit(True))
+            joined = joined.join(keys, col == c(f"_k{i}"), "left")
+            flags[i] = col.isNotNull() & c(f"_ok{i}").isNull()
+        else:
+            raise ValueError(f"not a row check: {ch.kind}")
+    one = joined.agg(*[F.count_if(f).alias(f"c{i}") for i, f in flags.items()])
+    long = one.unpivot([], [f"c{i}" for i in flags], "_idx", "failures")
+
+    def lookup(attr):
+        pairs = [x for i in flags for x in (F.lit(f"c{i}"), F.lit(getattr(checks[i], attr)))]
+        return F.create_map(*pairs)[c("_idx")]
+
+    return long.select(F.lit(model).alias("model"), lookup("kind").alias("check_name"),
+                       lookup("column").alias("column_name"),
+                       c("failures").cast("bigint").alias("failures"))
+
+
 def run_checks(spark: SparkSession, checks: Sequence[Check],
                models: dict[str, DataFrame]) -> DataFrame:
-    """All checks as one DataFrame (a union of one-row aggregates)."""
-    parts = [failure_count(ch, models) for ch in checks]
+    """All checks as one DataFrame of ``model, check_name, column_name, failures``.
+
+    Per model, the row-level checks share one scan; each ``unique`` check is
+    its own combinable count (it needs a shuffle on the column)."""
+    by_model: dict[str, list[Check]] = {}
+    for ch in checks:
+        by_model.setdefault(ch.model, []).append(ch)
+    parts, sizes = [], {}
+    for model, chs in by_model.items():
+        row_checks = [ch for ch in chs if ch.kind != "unique"]
+        if row_checks:
+            parts.append(_model_summary(model, row_checks, models[model], models, sizes))
+        parts += [failure_count(ch, models) for ch in chs if ch.kind == "unique"]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
