@@ -144,21 +144,24 @@ class Star:
     dim_payment_type: DataFrame
     dim_vendor: DataFrame
     settings: Settings
+    zone_rows: int | None = None
     zone_bounded: DataFrame | None = None
 
     def zones(self) -> DataFrame:
         """dim_zone, broadcast if its counted size is within the bound."""
         if self.zone_bounded is None:
-            self.zone_bounded = bounded(self.dim_zone, self.settings.broadcast_max_rows)
+            self.zone_bounded = bounded(self.dim_zone, self.settings.broadcast_max_rows,
+                                        self.zone_rows)
         return self.zone_bounded
 
 
 def build_star(spark: SparkSession, silver: DataFrame, zones_bronze: DataFrame,
-               settings: Settings) -> Star:
-    """The lazy star (nothing is written)."""
+               settings: Settings, zone_rows: int | None = None) -> Star:
+    """The lazy star (nothing is written). ``zone_rows``: the lookup's row
+    count if already known, for the broadcast check of ``dim_zone``."""
     return Star(fct_trips(silver), dim_date(spark, settings), dim_zone(zones_bronze),
                 dim_service_type(spark), dim_payment_type(spark), dim_vendor(spark),
-                settings)
+                settings, zone_rows)
 
 
 def write_star(spark: SparkSession, star: Star, path: str, rebalance: bool = False) -> Star:

@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded(dim: DataFrame, max_rows: int) -> DataFrame:
+def bounded(dim: DataFrame, max_rows: int, rows: int | None = None) -> DataFrame:
     """``broadcast(dim)`` when it has at most ``max_rows`` rows, else ``dim``.
 
-    The count is an action on the small side only. Above the bound the
-    planner keeps a shuffle join (and AQE may still broadcast at run time
-    from measured sizes)."""
-    n = dim.count()
+    The count is an action on the small side only (skipped when ``rows``, a
+    known row count or upper bound, is given). Above the bound the planner
+    keeps a shuffle join, and AQE may still broadcast at run time from
+    measured sizes."""
+    n = dim.count() if rows is None else rows
     return F.broadcast(dim) if n <= max_rows else dim
 
 

@@ -63,13 +63,14 @@ def quality_predicate():
 
 
 def silver_trips(yellow: DataFrame, green: DataFrame, zones_bronze: DataFrame,
-                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                 max_broadcast_rows: int = 1_000_000, zone_rows: int | None = None) -> DataFrame:
     """The unified trip view: 15 trip columns + pickup/drop-off zone names.
 
     Trips with an unknown zone drop out (inner joins). The zone table is
-    broadcast only after its row count is checked against the bound."""
+    broadcast only after its row count (``zone_rows`` when already known) is
+    checked against the bound."""
     trips = union_services(yellow, green).where(quality_predicate())
-    zones = bounded(zone_names(zones_bronze), max_broadcast_rows)
+    zones = bounded(zone_names(zones_bronze), max_broadcast_rows, zone_rows)
     zp = zones.select(F.col("location_id").alias("_pu_id"),
                       F.col("zone_name").alias("pickup_location_name"))
     zd = zones.select(F.col("location_id").alias("_do_id"),
@@ -88,7 +89,7 @@ REJECT_REASONS = (
 
 
 def silver_rejects(yellow: DataFrame, green: DataFrame, zones_bronze: DataFrame,
-                   max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                   max_broadcast_rows: int = 1_000_000, zone_rows: int | None = None) -> DataFrame:
     """Rows per reject reason (reasons overlap), plus ``rejected`` and ``kept``.
 
     One scan: each row gets its flags, one aggregate sums them, and the one
@@ -97,7 +98,7 @@ def silver_rejects(yellow: DataFrame, green: DataFrame, zones_bronze: DataFrame,
     c = F.col
     trips = union_services(yellow, green)
     keys = zone_names(zones_bronze).select("location_id").distinct()
-    keys = bounded(keys, max_broadcast_rows)
+    keys = bounded(keys, max_broadcast_rows, zone_rows)
     pu = keys.select(c("location_id").alias("_pu_id"), F.lit(True).alias("_pu_ok"))
     do = keys.select(c("location_id").alias("_do_id"), F.lit(True).alias("_do_ok"))
     flagged = (trips.join(pu, trips.pickup_location_id == pu._pu_id, "left")

@@ -55,9 +55,12 @@ def bronze_layers(spark: SparkSession, sf_dir: str) -> Bronze:
 
 
 def layers(spark: SparkSession, sf_dir: str, settings: Settings = TESTDATA) -> Layers:
+    """The lazy layers. The zone lookup is counted once; silver and the star
+    use that count for their broadcast checks."""
     b = bronze_layers(spark, sf_dir)
-    silver = S.silver_trips(b.yellow, b.green, b.zones, settings.broadcast_max_rows)
-    star = G.build_star(spark, silver, b.zones, settings)
+    zone_rows = b.zones.count()
+    silver = S.silver_trips(b.yellow, b.green, b.zones, settings.broadcast_max_rows, zone_rows)
+    star = G.build_star(spark, silver, b.zones, settings, zone_rows)
     return Layers(b, silver, star)
 
 

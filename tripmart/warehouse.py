@@ -52,9 +52,10 @@ def refresh(spark: SparkSession, landing_dir: str, zones_landing: DataFrame, roo
     loads.update(B.load_from_landing(spark, landing_dir, plan, f"{root}/bronze",
                                      settings.services))
     yellow, green, zones = bronze_tables(spark, root)
-    silver = S.silver_trips(yellow, green, zones, settings.broadcast_max_rows)
-    star = G.write_star(spark, G.build_star(spark, silver, zones, settings), f"{root}/gold",
-                        rebalance=rebalance_fact)
+    zone_rows = loads["zones"]["rows"]  # counted during the lookup write
+    silver = S.silver_trips(yellow, green, zones, settings.broadcast_max_rows, zone_rows)
+    star = G.write_star(spark, G.build_star(spark, silver, zones, settings, zone_rows),
+                        f"{root}/gold", rebalance=rebalance_fact)
     loaded = B.loaded_months(yellow).unionByName(B.loaded_months(green))
     out = Refresh(star, silver, B.coverage(plan, loaded), loads)
     if run_checks:
