@@ -125,3 +125,22 @@ def test_zone_ingest_constants_and_reserved_name(spark):
     r = z.first()
     assert {"locationid", "borough", "_zone", "ingest_ts"} <= set(z.columns)
     assert (r.source_month, r.service_type, r._zone) == ("static", "lookup", "Astoria")
+
+
+def test_schema_groups_in_one_load_report_dropped(spark, tmp_path):
+    land = tmp_path / "landing"
+    land.mkdir()
+    landing_file(land, "yellow", "2024-01")
+    landing_file(land, "yellow", "2024-02", extra={"congestion_surcharge": 2.5})
+    plan = L.load_plan(spark, "2024-01-01", "2024-02-29", ["yellow"])
+    rep = B.load_from_landing(spark, str(land), plan, str(tmp_path / "bronze"), ["yellow"])
+    assert rep["yellow"]["rows"] == 6
+    assert rep["yellow"]["dropped_columns"] == ["congestion_surcharge"]
+
+
+def test_cluster_conf_sizes_partitions():
+    from tripmart.session import cluster_conf
+
+    conf = cluster_conf(1000 * 8, shuffle_bytes=100 << 40)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(16)["spark.sql.shuffle.partitions"] == "48"

@@ -104,7 +104,7 @@ def load_months(spark: SparkSession, df: DataFrame, path: str) -> dict:
 
 
 def read_landing_months(spark: SparkSession, files: list[tuple[str, str, str]],
-                        service: str) -> DataFrame | None:
+                        service: str, dropped: list[str] | None = None) -> DataFrame | None:
     """Read the planned month files of one service.
 
     Files are grouped by their physical schema (footers are read on the
@@ -125,7 +125,10 @@ def read_landing_months(spark: SparkSession, files: list[tuple[str, str, str]],
     target = frames[0].schema
     out = frames[0]
     for f in frames[1:]:
-        out = out.unionByName(align_to(f, target)[0])
+        aligned, lost = align_to(f, target)
+        if dropped is not None:
+            dropped.extend(c for c in lost if c not in dropped)
+        out = out.unionByName(aligned)
     return out
 
 
@@ -136,11 +139,14 @@ def load_from_landing(spark: SparkSession, landing_dir: str, plan: DataFrame,
     files = L.planned_files(spark, plan, landing_dir)
     report = {}
     for service in services:
-        df = read_landing_months(spark, files, service)
+        dropped: list[str] = []
+        df = read_landing_months(spark, files, service, dropped)
         if df is None:
             report[service] = {"rows": 0, "dropped_columns": [], "skipped": True}
             continue
         report[service] = load_months(spark, df, f"{bronze_dir}/{service}_tripdata")
+        report[service]["dropped_columns"] = sorted(set(dropped)
+                                                    | set(report[service]["dropped_columns"]))
     return report
 
 

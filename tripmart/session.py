@@ -55,3 +55,28 @@ def shared_dir(spark: SparkSession) -> str:
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared folder for one written table."""
     return f"{shared_dir(spark)}/tripmart/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(total_cores: int, shuffle_bytes: int | None = None,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run of the warehouse jobs.
+
+    Shuffle partitions: at least 3 x cores (so every core has work after AQE
+    coalescing) and enough that each holds about ``target_partition_bytes`` of
+    the largest expected shuffle; AQE merges small ones and splits skewed
+    ones. Scans keep 128 MB splits."""
+    parts = 3 * total_cores
+    if shuffle_bytes:
+        parts = max(parts, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    }
