@@ -30,7 +30,6 @@ from tripmart.sources import tables as T
 REPAIRED = ("vendorid", "passenger_count", "pulocationid", "dolocationid", "ratecodeid",
             "payment_type")
 
-c = F.col
 
 
 @dataclass

@@ -39,7 +39,8 @@ def _n():
     return F.count(F.lit(1))
 
 
-def _dated(star: DataFrame | Star, year: int | None = None) -> DataFrame:
+def _dated(star: Star, year: int | None = None) -> DataFrame:
+    """Fact joined to the calendar (optionally one year of it)."""
     d = star.dim_date
     if year is not None:
         d = d.where(c("year") == year)
