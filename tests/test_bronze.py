@@ -144,3 +144,19 @@ def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(1000 * 8, shuffle_bytes=100 << 40)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert cluster_conf(16)["spark.sql.shuffle.partitions"] == "48"
+
+
+def test_unreadable_month_file_is_skipped_and_old_rows_stay(spark, tmp_path):
+    land = tmp_path / "landing"
+    land.mkdir()
+    landing_file(land, "yellow", "2024-01", n=3)
+    landing_file(land, "yellow", "2024-02", n=2)
+    plan = L.load_plan(spark, "2024-01-01", "2024-02-29", ["yellow"])
+    bronze_dir = str(tmp_path / "bronze")
+    B.load_from_landing(spark, str(land), plan, bronze_dir, ["yellow"])
+    # February is re-delivered broken, January re-delivered with more rows
+    (land / L.trip_file_name("yellow", "2024-02")).write_bytes(b"not a parquet file")
+    landing_file(land, "yellow", "2024-01", n=4)
+    rep = B.load_from_landing(spark, str(land), plan, bronze_dir, ["yellow"])
+    assert rep["yellow"]["failed_months"] == ["2024-02"]
+    assert counts(spark, f"{bronze_dir}/yellow_tripdata") == {("2024-01", 4), ("2024-02", 2)}

@@ -104,18 +104,29 @@ def load_months(spark: SparkSession, df: DataFrame, path: str) -> dict:
 
 
 def read_landing_months(spark: SparkSession, files: list[tuple[str, str, str]],
-                        service: str, dropped: list[str] | None = None) -> DataFrame | None:
+                        service: str, dropped: list[str] | None = None,
+                        failed: list[str] | None = None) -> DataFrame | None:
     """Read the planned month files of one service.
 
     Files are grouped by their physical schema (footers are read on the
     driver; no data) and each group is one multi-path read, so a thousand
     files with two schema versions make two scans, not a thousand-way union.
-    ``source_month`` comes from the month file (or folder) name. Every group is aligned to the
-    first file's bronze schema before the union (files drift in type and columns)."""
+    ``source_month`` comes from the month file (or folder) name. Every group
+    is aligned to the first file's bronze schema before the union (files
+    drift in type and columns); the columns this drops are appended to
+    ``dropped``. A month whose file cannot be read is skipped, so its month
+    in bronze stays as it was, and it is appended to ``failed``."""
     groups: dict[str, list[str]] = {}
-    for svc, _month, path in files:
-        if svc == service:
-            groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    for svc, month, path in files:
+        if svc != service:
+            continue
+        try:
+            schema = spark.read.parquet(path).schema
+        except Exception:  # noqa: BLE001 - unreadable month file: skip the month
+            if failed is not None:
+                failed.append(month)
+            continue
+        groups.setdefault(schema.json(), []).append(path)
     if not groups:
         return None
     month = F.regexp_extract(F.col("_metadata.file_path"), r"_tripdata_(\d{4}-\d{2})\.parquet", 1)
@@ -140,13 +151,16 @@ def load_from_landing(spark: SparkSession, landing_dir: str, plan: DataFrame,
     report = {}
     for service in services:
         dropped: list[str] = []
-        df = read_landing_months(spark, files, service, dropped)
+        failed: list[str] = []
+        df = read_landing_months(spark, files, service, dropped, failed)
         if df is None:
-            report[service] = {"rows": 0, "dropped_columns": [], "skipped": True}
+            report[service] = {"rows": 0, "dropped_columns": [], "failed_months": failed,
+                               "skipped": True}
             continue
         report[service] = load_months(spark, df, f"{bronze_dir}/{service}_tripdata")
         report[service]["dropped_columns"] = sorted(set(dropped)
                                                     | set(report[service]["dropped_columns"]))
+        report[service]["failed_months"] = failed
     return report
 
 
