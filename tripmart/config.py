@@ -9,7 +9,7 @@ question arguments, so they cannot drift apart.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Fixed values that must equal the reference's for the same answers.
 SERVICES = ("yellow", "green")
@@ -47,7 +47,6 @@ class Settings:
     # A dimension is broadcast only when its counted row number is at most
     # this; above it the planner keeps a shuffle join (AQE may still switch).
     broadcast_max_rows: int = 1_000_000
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Settings":
         return replace(self, **kw)

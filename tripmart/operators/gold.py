@@ -187,9 +187,11 @@ def write_star(spark: SparkSession, star: Star, path: str, rebalance: bool = Fal
 
 
 def read_star(spark: SparkSession, path: str, settings: Settings) -> Star:
-    r = spark.read
-    fct = r.parquet(f"{path}/fct_trips")
-    fct = fct.select(*FACT_COLUMNS, F.col("pickup_month").cast("date").alias("pickup_month"))
-    return Star(fct, r.parquet(f"{path}/dim_date"), r.parquet(f"{path}/dim_zone"),
-                r.parquet(f"{path}/dim_service_type"), r.parquet(f"{path}/dim_payment_type"),
-                r.parquet(f"{path}/dim_vendor"), settings)
+    """The written star, read with its declared schemas (no inference; the
+    fact's ``pickup_month`` directories read as dates)."""
+    from tripmart.schemas import STAR_DDL, star_schema
+
+    t = {name: spark.read.schema(star_schema(name)).parquet(f"{path}/{name}")
+         for name in STAR_DDL}
+    return Star(t["fct_trips"], t["dim_date"], t["dim_zone"], t["dim_service_type"],
+                t["dim_payment_type"], t["dim_vendor"], settings)
