@@ -27,11 +27,11 @@ from tripmart.sources import fixtures
 from tripmart.sources import landing as L
 from tripmart.sources import tables as T
 
+# integer columns the adapter lands as float or int (trip_type is not landed)
 REPAIRED = ("vendorid", "passenger_count", "pulocationid", "dolocationid", "ratecodeid",
             "payment_type")
 
 
-
 @dataclass
 class Bronze:
     yellow: DataFrame
