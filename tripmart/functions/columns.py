@@ -80,7 +80,7 @@ def partition_suffix(d) -> Column:
 
 
 def nulls_large_desc(c) -> Column:
-    """Descending with NULL first, as PostgreSQL orders NULL as the largest."""
+    """Descending with NULL first: NULL sorts as the largest value."""
     return _c(c).desc_nulls_first()
 
 

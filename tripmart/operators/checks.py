@@ -1,4 +1,4 @@
-"""Data-quality checks (dbt-style tests). Each returns the failing rows as a
+"""Data-quality checks (column tests). Each returns the failing rows as a
 DataFrame; ``run_checks`` returns one summary row per check.
 
 * ``not_null``: rows where the column is NULL;
