@@ -160,3 +160,17 @@ def test_unreadable_month_file_is_skipped_and_old_rows_stay(spark, tmp_path):
     rep = B.load_from_landing(spark, str(land), plan, bronze_dir, ["yellow"])
     assert rep["yellow"]["failed_months"] == ["2024-02"]
     assert counts(spark, f"{bronze_dir}/yellow_tripdata") == {("2024-01", 4), ("2024-02", 2)}
+
+
+def test_loaded_months_from_listing_equals_from_rows(spark, tmp_path):
+    land = tmp_path / "landing"
+    land.mkdir()
+    for m in ("2024-01", "2024-03"):
+        landing_file(land, "green", m)
+    plan = L.load_plan(spark, "2024-01-01", "2024-03-31", ["green"])
+    bronze_dir = str(tmp_path / "bronze")
+    B.load_from_landing(spark, str(land), plan, bronze_dir, ["green"])
+    table = f"{bronze_dir}/green_tripdata"
+    listed = {tuple(r) for r in B.loaded_months_listed(spark, table).collect()}
+    rows = {tuple(r) for r in B.loaded_months(spark.read.parquet(table)).collect()}
+    assert listed == rows == {("green", "2024-01"), ("green", "2024-03")}

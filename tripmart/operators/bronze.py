@@ -10,6 +10,7 @@ month leaves old rows untouched, and all months load in one Spark job
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,17 +117,24 @@ def read_landing_months(spark: SparkSession, files: list[tuple[str, str, str]],
     drift in type and columns); the columns this drops are appended to
     ``dropped``. A month whose file cannot be read is skipped, so its month
     in bronze stays as it was, and it is appended to ``failed``."""
-    groups: dict[str, list[str]] = {}
-    for svc, month, path in files:
-        if svc != service:
-            continue
+    mine = [(month, path) for svc, month, path in files if svc == service]
+
+    def footer_schema(path: str) -> str | None:
         try:
-            schema = spark.read.parquet(path).schema
+            return spark.read.parquet(path).schema.json()
         except Exception:  # noqa: BLE001 - unreadable month file: skip the month
+            return None
+
+    # footers only; read concurrently so thousands of files do not queue up
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        schemas = list(pool.map(footer_schema, [p for _, p in mine]))
+    groups: dict[str, list[str]] = {}
+    for (month, path), schema in zip(mine, schemas):
+        if schema is None:
             if failed is not None:
                 failed.append(month)
             continue
-        groups.setdefault(schema.json(), []).append(path)
+        groups.setdefault(schema, []).append(path)
     if not groups:
         return None
     month = F.regexp_extract(F.col("_metadata.file_path"), r"_tripdata_(\d{4}-\d{2})\.parquet", 1)
@@ -165,10 +173,20 @@ def load_from_landing(spark: SparkSession, landing_dir: str, plan: DataFrame,
 
 
 def loaded_months(bronze: DataFrame) -> DataFrame:
-    """Distinct (service_type, source_month) present in a bronze table."""
+    """Distinct (service_type, source_month) present in bronze rows."""
     return bronze.select("service_type", "source_month").distinct()
 
 
+def loaded_months_listed(spark: SparkSession, table_path: str) -> DataFrame:
+    """Distinct (service_type, source_month) of a written bronze table, from
+    its directory listing: partition values come from the paths and no data
+    file is opened, however many files the table has."""
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+               .load(table_path))
+    return listing.select(F.col("service_type").cast("string").alias("service_type"),
+                          F.col("source_month").cast("string").alias("source_month")).distinct()
+
+
 def coverage(plan: DataFrame, loaded: DataFrame) -> DataFrame:
     """``year_month, service_type, status`` for each planned chunk:
     ``loaded`` when bronze has rows for it, else ``missing``."""

@@ -56,7 +56,8 @@ def refresh(spark: SparkSession, landing_dir: str, zones_landing: DataFrame, roo
     silver = S.silver_trips(yellow, green, zones, settings.broadcast_max_rows, zone_rows)
     star = G.write_star(spark, G.build_star(spark, silver, zones, settings, zone_rows),
                         f"{root}/gold", rebalance=rebalance_fact)
-    loaded = B.loaded_months(yellow).unionByName(B.loaded_months(green))
+    loaded = (B.loaded_months_listed(spark, f"{root}/bronze/yellow_tripdata")
+              .unionByName(B.loaded_months_listed(spark, f"{root}/bronze/green_tripdata")))
     out = Refresh(star, silver, B.coverage(plan, loaded), loads)
     if run_checks:
         models = {"silver_trips": silver, "zone_lookup": zones,
