@@ -58,9 +58,9 @@ def test_percentile_reduces_before_window(star):
     # the histogram is a combinable count: partial counts before its shuffle
     hist = plan_of(P._histogram(star.fct, ["pu_zone_key"], F.col("trip_distance")))
     assert hist.index("partial_count(1)") > hist.index("Exchange hashpartitioning")
-    # the question ranks the written histogram, not the fact rows
+    # small groups: the window ranks the histogram, which partial counts build
     p = plan_of(Q.q18_duration_percentiles(star))
-    assert "histogram-" in p and "Window [" in p and "fct_trips" not in p
+    assert p.index("partial_count(1)") > p.index("Window [")  # below = runs before
 
 
 def test_top_per_group_uses_group_limit(star):

@@ -18,11 +18,14 @@
    ``(total - 1) * p`` and interpolates linearly (the SQL definition).
 
 ``buckets=1`` skips the cuts: one window per group over its distinct values.
-``buckets=None`` (the default) decides from the data: the histogram is
-written once as a table under the shared checkpoint folder (so it is not
-computed twice, and its lineage is cut), one small job reads the widest group's number
-of distinct values, and the two-level split is used only when that exceeds
-``SINGLE_TASK_VALUES``, with enough ranges to bring each under a quarter of it.
+``buckets=None`` (the default) decides from the data. A narrow count per
+group (rows bound distinct values) is read first; up to
+``SINGLE_TASK_VALUES`` the one-level window is safe. Otherwise the histogram
+is written once as a table under the shared checkpoint folder (it is read
+three times; the write also cuts its lineage), its widest group's number of
+distinct values is read, and the two-level split is used when that still
+exceeds ``SINGLE_TASK_VALUES``, with enough ranges to bring each range under a
+quarter of it.
 """
 
 from __future__ import annotations
@@ -108,13 +111,19 @@ def _ranked_histogram(df: DataFrame, groups: Sequence[str], value: Column,
         df, groups = df.withColumn("_all", F.lit(0)), ["_all"]
     hist = _histogram(df, groups, value)
     if buckets is None:
-        spark = df.sparkSession
-        path = new_table_path(spark, "histogram")
-        hist.write.mode("overwrite").parquet(path)
-        hist = spark.read.parquet(path)
-        widest = hist.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
-        buckets = 1 if widest <= SINGLE_TASK_VALUES else min(
-            MAX_BUCKETS, -(-4 * widest // SINGLE_TASK_VALUES))
+        # rows bound distinct values: a narrow count per group decides
+        widest = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+        if widest <= SINGLE_TASK_VALUES:
+            buckets = 1
+        else:
+            # the two-level path reads the histogram three times: write it once
+            spark = df.sparkSession
+            path = new_table_path(spark, "histogram")
+            hist.write.mode("overwrite").parquet(path)
+            hist = spark.read.parquet(path)
+            widest = hist.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+            buckets = 1 if widest <= SINGLE_TASK_VALUES else min(
+                MAX_BUCKETS, -(-4 * widest // SINGLE_TASK_VALUES))
     if buckets <= 1:
         return _ranked_one_level(hist, groups)
     return _ranked_two_level(hist, groups, buckets, max_broadcast_rows)
