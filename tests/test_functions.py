@@ -36,3 +36,11 @@ def test_month_text_and_suffix(spark):
     df = spark.createDataFrame([(dt.date(2022, 1, 15),)], "d date")
     r = df.select(C.month_text("d"), C.partition_suffix("d"), C.month_start("d")).first()
     assert tuple(r) == ("2022-01", "2022_01", dt.date(2022, 1, 1))
+
+
+def test_money_cast_rounds_half_up(spark):
+    # H1: double -> decimal(10,2) rounds half up in Spark (1.005 -> 1.01); the
+    # oracle data only has two-decimal values, so both engines agree there
+    df = spark.createDataFrame([(1.005,), (2.5,), (-1.005,)], "x double")
+    got = [str(r[0]) for r in df.select(F.col("x").cast(C.MONEY)).collect()]
+    assert got == ["1.01", "2.50", "-1.01"]
