@@ -57,3 +57,13 @@ def test_bucketed_zone_table(spark, tmp_path):
     T.save_bucketed(df, "dim_zone_bucketed_test", 4, "zone_key", str(tmp_path / "zb"))
     assert spark.table("dim_zone_bucketed_test").count() == 20
     spark.sql("DROP TABLE dim_zone_bucketed_test")
+
+
+def test_named_table_full_replace_creates_schema(spark, tmp_path):
+    df = spark.range(5).selectExpr("cast(id as int) payment_type_key", "'x' payment_type")
+    stats = T.save_table(df, "gold_test.dim_payment_type", path=str(tmp_path / "pt"))
+    assert stats["rows"] == 5
+    T.save_table(df.limit(2), "gold_test.dim_payment_type", path=str(tmp_path / "pt"))
+    assert spark.table("gold_test.dim_payment_type").count() == 2
+    spark.sql("DROP TABLE gold_test.dim_payment_type")
+    spark.sql("DROP DATABASE gold_test")

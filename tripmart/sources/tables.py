@@ -51,10 +51,35 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     return dict(obs.get)
 
 
+def ensure_database(spark: SparkSession, name: str) -> None:
+    """Create the catalog database (schema) when it does not exist."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+
+
+def save_table(df: DataFrame, qualified_name: str, mode: str = "overwrite",
+               partition_by: Sequence[str] = (), path: str | None = None) -> dict:
+    """Full replace (or append) of a named catalog table ``schema.table``;
+    the schema is created when absent. With ``path`` the table's files live
+    there (an external table in the shared folder)."""
+    spark = df.sparkSession
+    if "." in qualified_name:
+        ensure_database(spark, qualified_name.split(".", 1)[0])
+    obs = Observation(f"save_{qualified_name.replace('.', '_')}")
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(qualified_name)
+    return dict(obs.get)
+
+
 def save_bucketed(df: DataFrame, table: str, buckets: int, key: str,
                   path: str | None = None) -> None:
     """Hash-partitioned catalog table (``bucketBy``). A later join or
     aggregation on ``key`` with the same bucket count needs no shuffle."""
+    if "." in table:
+        ensure_database(df.sparkSession, table.split(".", 1)[0])
     w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
     if path:
         w = w.option("path", path)
