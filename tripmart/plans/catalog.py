@@ -163,6 +163,15 @@ def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.coverage(plan, loaded)
 
 
+@register
+def zone_lookup_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones written as a header CSV (NULL as empty text), read back through
+    the NULL-token reader, ingested to bronze and projected to ``dim_zone``."""
+    path = new_table_path(spark, "zone_lookup_csv")
+    T.write_csv(fixtures.landing_zones(spark, sf_dir), path)
+    return G.dim_zone(B.to_bronze_zones(L.read_zone_lookup(spark, path)))
+
+
 # Silver (P1-P5, U1, J1) -------------------------------------------------------
 
 @register
@@ -329,4 +338,16 @@ def median_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.median_fill(fct, NUMERIC_FACT_COLUMNS)
 
 
+@register
+def csv_sample_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numeric-sample flow on CSV: the fact's numeric columns exported as
+    CSV, read back with a schema, selected and filled with upper medians."""
+    fct = layers(spark, sf_dir).star.fct.select("trip_key", *NUMERIC_FACT_COLUMNS)
+    path = new_table_path(spark, "csv_sample")
+    T.write_csv(fct, path)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fct.schema.fields)
+    back = L.read_csv(spark, path, schema)
+    return I.median_fill(back, NUMERIC_FACT_COLUMNS)
+
+
 REGISTRY.update({name: _question(name) for name in QUESTIONS})

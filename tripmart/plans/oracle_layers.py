@@ -136,6 +136,7 @@ LEFT JOIN (SELECT DISTINCT service_type, source_month FROM bronze_all) l
   LEFT JOIN (SELECT DISTINCT location_id FROM zone_names) zd ON t.dropoff_location_id = zd.location_id)
 {unpivot}""",
         "dim_zone": "SELECT * FROM dim_zone",
+        "zone_lookup_csv": "SELECT * FROM dim_zone",
         "dim_date": _with_trips("dim_date", "date_key", "pickup_date_key"),
         "dim_service_type": _with_trips("dim_service_type", "service_id", "service_key"),
         "dim_payment_type": _with_trips("dim_payment_type", "payment_type_key", "payment_type_key"),
@@ -175,6 +176,9 @@ SELECT f.* FROM fct f WHERE f.pickup_date_key IS NOT NULL
         "quality_report": _suite(),
         "upper_median": "SELECT " + ", ".join(f"{med(x)} AS {x}" for x in NUMERIC_FACT)
         + " FROM fct",
+        "csv_sample_fill": "SELECT trip_key, " + ", ".join(
+            f"COALESCE({x}, (SELECT {med(x)} FROM fct)) AS {x}" for x in NUMERIC_FACT)
+        + " FROM fct",
         "median_fill": "SELECT trip_key, " + ", ".join(
             f"COALESCE({x}, (SELECT {med(x)} FROM fct)) AS {x}" for x in NUMERIC_FACT)
         + " FROM fct",
