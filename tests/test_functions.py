@@ -44,3 +44,16 @@ def test_money_cast_rounds_half_up(spark):
     df = spark.createDataFrame([(1.005,), (2.5,), (-1.005,)], "x double")
     got = [str(r[0]) for r in df.select(F.col("x").cast(C.MONEY)).collect()]
     assert got == ["1.01", "2.50", "-1.01"]
+
+
+def test_durations_ignore_session_zone_dst(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("""select * from values
+          (timestamp_ntz'1999-04-04 02:50:00', timestamp_ntz'1999-04-04 03:10:00'),
+          (timestamp_ntz'1999-04-04 01:50:00', timestamp_ntz'1999-04-04 02:20:00'),
+          (timestamp_ntz'1999-10-31 01:50:00', timestamp_ntz'1999-10-31 02:10:00.5') as t(a, b)""")
+        got = [r[0] for r in df.select(C.duration_micros("a", "b")).collect()]
+        assert got == [1_200_000_000, 1_800_000_000, 1_200_500_000]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -36,7 +36,13 @@ def iso_day_of_week(d) -> Column:
 
 
 def duration_micros(start, end) -> Column:
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+    """Wall-clock difference of two ``timestamp_ntz`` values in microseconds.
+
+    NTZ subtraction gives an interval without any time zone; ``timestamp_diff``
+    would go through the session zone and be off when an end falls in a
+    daylight-saving gap."""
+    seconds = (_c(end) - _c(start)).cast("interval second").cast("decimal(24,6)")
+    return (seconds * 1_000_000).cast("bigint")
 
 
 def minutes_between(start, end) -> Column:
