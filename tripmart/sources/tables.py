@@ -13,6 +13,7 @@ Modes follow the reference's materializations:
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -97,7 +98,15 @@ def read_table(spark: SparkSession, path: str, base_path: str | None = None,
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table."""
+    """True when ``path`` holds a readable Parquet table.
+
+    A local path is checked on the file system; any other URI by reading
+    the table's footers (a missing path raises ``PATH_NOT_FOUND``)."""
+    if "://" not in path or path.startswith("file:"):
+        local = path.removeprefix("file://").removeprefix("file:")
+        if not os.path.isdir(local):
+            return False
+        return any(f.endswith(".parquet") for _, _, files in os.walk(local) for f in files)
     try:
         spark.read.parquet(path).schema  # noqa: B018 - reads footers only
         return True
