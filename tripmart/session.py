@@ -8,6 +8,7 @@ temporary folder is set only when the session has none (tests, laptops).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,11 +43,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set a local one only if unset."""
+    """The cluster's shared checkpoint folder. Only a local master may go
+    without one: a folder of this machine is no folder of the executors."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that driver and executors share (master {master})")
         path = tempfile.mkdtemp(prefix="tripmart-ckpt-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
