@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import lang_id
+from tripmart.llm import lang_id, line_dedup
 from tripmart.llm.common import table, written
 
 
@@ -18,8 +18,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return lang_id.keep_identified(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines similar to an earlier line go; documents left without a line go."""
+    return line_dedup.dedup_lines(docs)
+
+
 STAGES = [
     ("language_id", language),
+    ("line_dedup", lines),
 ]
 
 #: Language ID and the decontamination learn from the corpus, the near-duplicate

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import lang_id
+from tripmart.llm import lang_id, line_dedup
 from tripmart.llm.common import table
 
 
@@ -12,7 +12,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.count_lines(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
+    "op7_line_dedup": op7_line_dedup,
     "op9_language_id": op9_language_id,
 }
 
