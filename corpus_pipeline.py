@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import lang_id, line_dedup
+from tripmart.llm import lang_id, line_dedup, near_dup
 from tripmart.llm.common import table, written
 
 
@@ -23,9 +23,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays, the first."""
+    return near_dup.keep_first(docs)
+
+
 STAGES = [
     ("language_id", language),
     ("line_dedup", lines),
+    ("near_dup", near_copies),
 ]
 
 #: Language ID and the decontamination learn from the corpus, the near-duplicate

@@ -71,3 +71,46 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def as_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
+_GAPS = np.zeros(256, bool)
+_GAPS[[32, 9, 10, 11, 12, 13]] = True
+
+
+def word_blocks(raw: np.ndarray, start: int, end: int, size: int = 1 << 20):
+    """The words of a text as lists of bytes, about ``size`` bytes at a time;
+    a block ends at the end of a word."""
+    while start < end:
+        stop = min(end, start + size)
+        while stop < end and not _GAPS[raw[stop]]:
+            gap = np.flatnonzero(_GAPS[raw[stop:min(end, stop + 4096)]])
+            stop = stop + int(gap[0]) if len(gap) else min(end, stop + 4096)
+        words = raw[start:stop].tobytes().split()
+        if words:
+            yield words
+        start = stop
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    """The finalizer of splitmix64, on uint64."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, remembered for up to ``most`` words at a time."""
+
+    def __init__(self, most: int = 400_000):
+        self.most = most
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= self.most:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripmart.llm import lang_id, line_dedup
+from tripmart.llm import lang_id, line_dedup, near_dup
 from tripmart.llm.common import table
 
 
@@ -16,7 +17,15 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.count_lines(table(spark, sf_dir, "documents"))
 
 
+def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, class_id, n_links, class_size, kept."""
+    docs = table(spark, sf_dir, "documents")
+    classes = near_dup.classify(docs)
+    return classes.select("doc_id", "class_id", "n_links", "class_size", F.col("leads").alias("kept"))
+
+
 REGISTRY = {
+    "op1_near_dup": op1_near_dup,
     "op7_line_dedup": op7_line_dedup,
     "op9_language_id": op9_language_id,
 }
