@@ -12,11 +12,15 @@ shingle). A shingle's weight is 1 + ln(its count in the text).
 2. Banding: 32 bands of 4 registers. At similarity 0.8 a pair shares no band
    with probability 5e-8.
 3. Texts with equal words are one node. In each bucket, every node is verified
-   against a leader; two such passes, then every pair of a bucket whose nodes
-   are still in different components. A group of k near copies costs about k
-   verified pairs. A pair is linked when the exact Jaccard similarity of its
-   shingle sets is 0.8 or more. A class is a connected component of links: no
-   pair of a bucket with a link is left in two classes.
+   against a leader, the node whose bands are in the largest buckets; a second
+   pass does so with the leader of those outside the bucket's largest component;
+   then every pair of a bucket whose nodes are still in different components is
+   tried, after a bound from 1024 parity bits of each shingle set that no pair
+   at 0.8 fails. A group of k near copies costs about k verified pairs, not
+   k * k. A pair is linked when the exact Jaccard similarity of its shingle sets
+   is 0.8 or more. A class is a connected component of links: no pair of a bucket
+   with a link is left in two classes, and n_links counts the links found (a
+   group's links through its leaders, not all k * k of them).
 
 Defined cases: texts that are null or without a word belong to no class but
 their own (class_id is their doc_id, n_links 0). Equal rows (same doc_id and
@@ -31,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import WordHashes, as_array, bytes_of, discard, mix, row_key, word_blocks, written
@@ -39,6 +43,8 @@ from tripmart.llm.common import WordHashes, as_array, bytes_of, discard, mix, ro
 SHINGLE = 5
 REGISTERS = 128
 ROWS = 4
+PARITY = 1024
+STARS = 2
 THRESHOLD = (4, 5)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,23 +142,43 @@ def sign_documents(docs: DataFrame) -> DataFrame:
 
 
 def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingle set of each node, and its parity: PARITY bits, one of which
+    is flipped for every shingle."""
     hashes = WordHashes()
     for batch in batches:
         raw, off = bytes_of(as_array(batch.column(1)))
         for i in range(0, batch.num_rows, 200):
-            sets = [np.unique(_shingles(_word_array(raw, off[j], off[j + 1], hashes))).view(np.int64)
+            sets = [np.unique(_shingles(_word_array(raw, off[j], off[j + 1], hashes)))
                     for j in range(i, min(batch.num_rows, i + 200))]
             ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
+            parity = [np.packbits(np.bincount((s >> np.uint64(8)).astype(np.int64) % PARITY, minlength=PARITY) & 1 == 1)
+                      for s in sets]
+            words = np.concatenate(parity).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, len(sets)), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))],
-                ["node", "shingles"])
+                [batch.column(0).slice(i, len(sets)),
+                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets).view(np.int64))),
+                 pa.ListArray.from_arrays(np.arange(0, len(words) + 1, PARITY // 64, dtype=np.int32), pa.array(words))],
+                ["node", "shingles", "parity"])
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of pairs (a, b), those whose shingle sets have a Jaccard of 0.8 or more."""
+def _may_be_similar(a: str, b: str) -> Column:
+    """Necessary for a Jaccard of 0.8, from n and parity of both: the differing
+    bits are no more than the shingles that only one of them may have."""
+    apart = " + ".join(f"bit_count({a}.parity[{k}] ^ {b}.parity[{k}])" for k in range(PARITY // 64))
     up, down = THRESHOLD
+    return F.expr(f"{up} * {a}.n <= {down} * {b}.n AND {up} * {b}.n <= {down} * {a}.n "
+                  f"AND {up + down} * ({apart}) <= {down - up} * ({a}.n + {b}.n)")
+
+
+def _similar(pairs: DataFrame, facts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of pairs (a, b), those whose shingle sets have a Jaccard of 0.8 or more.
+    Only pairs that pass the bound of their parities are compared in full."""
+    up, down = THRESHOLD
+    x, y = facts.alias("x"), facts.alias("y")
+    likely = pairs.join(x, F.col("a") == F.col("x.node")).join(
+        y, (F.col("b") == F.col("y.node")) & _may_be_similar("x", "y")).select("a", "b")
     both = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+    return (likely.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
             .where(down * both >= up * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
@@ -195,36 +221,50 @@ def link_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     texts = docs.select("doc_id", row_key("doc_id", "text").alias("doc_key"), "text").alias("d") \
         .join(members.alias("m"), F.expr("d.doc_key = m.doc_key AND d.doc_id <=> m.doc_id")) \
         .select("node", "text").dropDuplicates(["node"])
-    sets = written(texts.mapInArrow(_shingle_batches, "node binary, shingles array<long>"), "shingles")
-    buckets = buckets.select("band", "node")
-
-    def leaders(order) -> DataFrame:
-        led = buckets.groupBy("band").agg(order.alias("b"))
-        return buckets.join(led, "band").select(F.col("node").alias("a"), "b").where("a != b")
-
-    star = leaders(F.min("node")).distinct()
-    links = written(_similar(star, sets), "links")
-    labels = components(links)
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        """Of pairs (a, b), those whose nodes are in different components."""
-        la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-        lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        return pairs.join(la, "a", "left").join(lb, "b", "left") \
-            .where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b").distinct()
-
-    star = apart(leaders(F.max("node")))
-    links = written(links.union(_similar(star, sets)), "links")
-    labels = components(links)
-    placed = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    x, y = placed.alias("x"), placed.alias("y")
-    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node"))
-                  & (F.col("x.label") != F.col("y.label"))) \
+    sets = written(texts.mapInArrow(_shingle_batches, "node binary, shingles array<long>, parity array<long>"), "shingles")
+    facts = sets.select("node", F.size("shingles").alias("n"), "parity")
+    # a node whose bands are all in large buckets is close to the middle of its group
+    sizes = buckets.groupBy("band").agg(F.count("*").alias("size"))
+    middle = buckets.join(sizes, "band").groupBy("node").agg(F.sum("size").alias("middle"))
+    buckets = written(buckets.select("band", "node").join(middle, "node"), "buckets")
+
+    links = labels = None
+    for _ in range(STARS):
+        placed = buckets.withColumn("label", F.col("node")) if labels is None else _labelled(buckets, labels)
+        if labels is not None:
+            placed = placed.join(_largest(placed), "band")
+        else:
+            placed = placed.withColumn("largest", F.lit(None).cast("binary"))
+        open_ = placed.where(F.col("largest").isNull() | (F.col("label") != F.col("largest")))
+        lead = open_.groupBy("band").agg(F.max(F.struct("middle", "node", "label")).alias("lead"))
+        star = placed.join(lead, "band").where(F.col("label") != F.col("lead.label")) \
+            .select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct()
+        found = _similar(star, facts, sets)
+        links = written(found if links is None else links.union(found), "links")
+        labels = components(links)
+    placed = _labelled(buckets, labels)
+    placed = placed.join(_largest(placed), "band").join(facts, "node")
+    x, y = placed.where("label != largest").alias("x"), placed.alias("y")
+    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.label") != F.col("y.label"))
+                  & ((F.col("x.node") < F.col("y.node")) | (F.col("y.label") == F.col("y.largest")))
+                  & _may_be_similar("x", "y")) \
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    links = written(links.union(_similar(rest, sets)), "links")
+    links = written(links.union(_similar(rest, facts, sets)).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     return signed, links, components(links)
 
 
+def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    return buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _largest(placed: DataFrame) -> DataFrame:
+    """band, largest: the label with most nodes in each bucket that has several."""
+    counts = placed.groupBy("band", "label").agg(F.count("*").alias("n"))
+    return counts.groupBy("band").agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels")) \
+        .where("labels > 1").select("band", F.col("most.label").alias("largest"))
+
+
 def classify(docs: DataFrame) -> DataFrame:
     """One row per different (doc_id, text): doc_id, doc_key, class_id, n_links
     (verified links to other texts), class_size (documents), and leads (whether
