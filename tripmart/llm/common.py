@@ -17,12 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     """Write to a new folder under the shared checkpoint folder and read back:
-    the lineage ends there, and a lost executor costs no earlier stage."""
+    the lineage ends there, and a lost executor costs no earlier stage. tidy:
+    then let the driver's cleaner find the shuffle files that nothing refers to
+    any more, which it otherwise does when the driver happens to run out of heap."""
     spark = df.sparkSession
     path = new_table_path(spark, f"llm-{name}")
     df.write.parquet(path)
+    if tidy:
+        spark._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out._llm_path = path
     return out

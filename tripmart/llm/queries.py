@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import lang_id, line_dedup, near_dup
+from tripmart.llm import decontam, lang_id, line_dedup, near_dup, packing, quality, substrings, toxicity, url_filter
 from tripmart.llm.common import table
 
 
@@ -24,11 +24,42 @@ def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "n_links", "class_size", F.col("leads").alias("kept"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.default_rules(spark))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(table(spark, sf_dir, "documents"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item: doc_id, item_id and the scores."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_near_dup": op1_near_dup,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_url_filter": op3_url_filter,
+    "op4_toxicity": op4_toxicity,
+    "op5_repeated_substrings": op5_repeated_substrings,
+    "op6_decontaminate": op6_decontaminate,
     "op7_line_dedup": op7_line_dedup,
     "op9_language_id": op9_language_id,
+    "op10_packing": op10_packing,
 }
 
 #: Queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_url_filter": url_filter.ORACLE_SQL}
