@@ -17,9 +17,13 @@ cover that leaves 32 equal bytes would have 9 in 73.
    context, of up to 168 bytes. The rank of a sample is its context's hash and
    first occurrence: within a bucket, equal contexts tie, and all but the first
    are repeated whole, however long the tie goes on.
-3. Only buckets with several contexts are resolved window by window: the windows
-   of their first contexts are hashed (128 bits), and all but the first of equal
-   ones are repeated.
+3. In buckets with several contexts, each first context is cut into cells of up
+   to 9 windows with like distances from the sample. All windows of a cell have
+   its core in common (92 bytes); a cell whose core is the only one of its kind
+   has no repeated window, and of equal cells all but the first are repeated.
+4. Only cells with an equal core and different edges are resolved window by
+   window: a window is the core, some of the 8 bytes before and some of the 8
+   bytes after it.
 
 Buckets are counted and ranked by partial aggregation and joined back in a join
 that can be split, so no bucket is held by one task. Memory is one batch of
@@ -47,6 +51,8 @@ LENGTH = 100
 GRAM = 32
 BLOCK = 1 << 19
 _SPAN = LENGTH - GRAM + 1
+CELL = 9
+CORE = LENGTH - CELL + 1
 _POSITION = np.uint64((1 << 20) - 1)
 
 
@@ -91,8 +97,9 @@ def cover(block: np.ndarray, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np
 
 
 def contexts(raw: np.ndarray, off: np.ndarray, hasher: Hasher) -> Iterator[tuple[np.ndarray, ...]]:
-    """(row, start, windows, bucket, context) of the cover samples of texts that
-    lie one after another in raw."""
+    """(row, start, windows, lead, bucket, context) of the cover samples of texts
+    that lie one after another in raw. lead: bytes from the first window's start
+    to the sample."""
     first, last = int(off[0]), int(off[-1])
     for at in range(first, last - LENGTH + 1, BLOCK):
         block = raw[at:min(last, at + BLOCK + LENGTH - 1)]
@@ -110,7 +117,8 @@ def contexts(raw: np.ndarray, off: np.ndarray, hasher: Hasher) -> Iterator[tuple
         start = window[np.concatenate([[0], cut])]
         end = window[np.concatenate([cut - 1, [len(window) - 1]])]
         row = np.searchsorted(off, start + at, "right") - 1
-        yield (row, start + at - off[row], end - start + 1, grams[place[np.concatenate([[0], cut])]].view(np.int64),
+        place = place[np.concatenate([[0], cut])]
+        yield (row, start + at - off[row], end - start + 1, place - start, grams[place].view(np.int64),
                mix(hasher.of(sums, start, end + LENGTH)).view(np.int64))
 
 
@@ -120,20 +128,21 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def samples(docs: DataFrame) -> DataFrame:
-    """doc_id, tie, start, windows, bucket, context of every cover sample."""
+    """doc_id, tie, start, windows, lead, bucket, context of every cover sample."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(1)
         for batch in batches:
             raw, off = bytes_of(as_array(batch.column(2)))
-            for row, start, windows, bucket, context in contexts(raw, off, hasher):
+            for row, start, windows, lead, bucket, context in contexts(raw, off, hasher):
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(take), batch.column(1).take(take), pa.array(start, pa.int32()),
-                     pa.array(windows, pa.int32()), pa.array(bucket), pa.array(context)],
-                    ["doc_id", "tie", "start", "windows", "bucket", "context"])
+                     pa.array(windows, pa.int8()), pa.array(lead, pa.int8()), pa.array(bucket), pa.array(context)],
+                    ["doc_id", "tie", "start", "windows", "lead", "bucket", "context"])
 
-    return _keyed(docs).mapInArrow(run, "doc_id long, tie int, start int, windows int, bucket long, context long")
+    return _keyed(docs).mapInArrow(
+        run, "doc_id long, tie int, start int, windows tinyint, lead tinyint, bucket long, context long")
 
 
 def _by_document(docs: DataFrame, parts: DataFrame, how: str) -> DataFrame:
@@ -142,68 +151,101 @@ def _by_document(docs: DataFrame, parts: DataFrame, how: str) -> DataFrame:
     return _keyed(docs).join(p, F.expr("tie = __tie AND doc_id <=> __id"), how).select("doc_id", "tie", "text", "parts")
 
 
-def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashers = Hasher(1), Hasher(2)
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The cells of each document's contexts: bucket, cell, core, content (hashes),
+    near (distance, within the cell, of its last window), windows, and the 8 bytes
+    before and after the core as numbers."""
+    hasher = Hasher(1)
     for batch in batches:
         raw, off = bytes_of(as_array(batch.column(2)))
-        for i, parts in enumerate(batch.column(3).to_pylist()):
-            spans = sorted({(p["start"], p["windows"]) for p in parts})
-            where = np.concatenate([np.arange(s, s + n) for s, n in spans])
-            out = [], [], []
-            for at in range(0, int(where[-1]) + 1, BLOCK):
-                mine = where[(where >= at) & (where < at + BLOCK)]
+        for i in range(batch.num_rows):
+            parts = batch.column(3)[i].values
+            start, windows, lead, bucket = (parts.field(k).to_numpy().astype(np.int64) for k in range(4))
+            sample, last = start + lead, lead - windows + 1  # distances go from lead down to last
+            n = lead // CELL - last // CELL + 1
+            own = np.repeat(np.arange(len(start)), n)
+            cell = np.arange(len(own)) - np.repeat(np.cumsum(n) - n - last // CELL, n)
+            far = np.minimum(lead[own], cell * CELL + CELL - 1)
+            near = np.maximum(last[own], cell * CELL)
+            first, core = sample[own] - far, sample[own] - cell * CELL
+            out = {k: np.zeros(len(own), np.int64) for k in ("core", "content", "before", "after")}
+            size = int(off[i + 1] - off[i])
+            for at in range(0, int(first.max()) + 1, BLOCK):
+                mine = np.flatnonzero((first >= at) & (first < at + BLOCK))
                 if not len(mine):
                     continue
-                block = raw[off[i] + at:min(off[i + 1], off[i] + at + BLOCK + LENGTH - 1)]
-                out[0].append(mine)
-                for k, h in enumerate(hashers):
-                    out[1 + k].append(h.of(h.sums(block), mine - at, mine - at + LENGTH).view(np.int64))
-            start, h1, h2 = (np.concatenate(x) for x in out)
+                low, high = max(0, at - CELL), min(size, at + BLOCK + LENGTH + CELL)
+                block = raw[off[i] + low:off[i] + high]
+                sums = hasher.sums(block)
+                c = core[mine] - low
+                out["core"][mine] = mix(hasher.of(sums, c, c + CORE)).view(np.int64)
+                out["content"][mine] = mix(hasher.of(sums, first[mine] - low, sample[own[mine]] - near[mine] - low + LENGTH)).view(np.int64)
+                padded = np.concatenate([np.zeros(CELL, np.uint8), block, np.zeros(CELL, np.uint8)])
+                for name, where in (("before", c + CELL - (CELL - 1)), ("after", c + CELL + CORE)):
+                    eight = padded[where[:, None] + np.arange(8)]
+                    out[name][mine] = eight.view(">u8").ravel().astype(np.uint64).view(np.int64)
+            count = len(own)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([batch.column(0)[i].as_py()] * len(start), pa.int64()),
-                 pa.array(np.full(len(start), batch.column(1)[i].as_py(), np.int32)), pa.array(start, pa.int32()),
-                 pa.array(h1), pa.array(h2)], ["doc_id", "tie", "start", "h1", "h2"])
+                [pa.repeat(batch.column(0)[i], count), pa.repeat(batch.column(1)[i], count), pa.array(first, pa.int32()),
+                 pa.array(far - near + 1, pa.int8()), pa.array(near - cell * CELL, pa.int8()), pa.array(bucket[own]),
+                 pa.array(cell, pa.int8()), *[pa.array(out[k]) for k in ("core", "content", "before", "after")]],
+                ["doc_id", "tie", "start", "windows", "near", "bucket", "cell", "core", "content", "before", "after"])
 
 
 def repeated(docs: DataFrame) -> DataFrame:
     """doc_id, tie, parts: for each document, (start, windows, kind) of stretches:
     0 a context in a shared bucket, 1 the same if it is the first of its kind, 2 a
-    window that is repeated by itself."""
+    cell, 3 the same if it is the first of its kind, 4 a window that is repeated
+    by itself."""
     docs = docs.select("doc_id", "text")
     place = F.struct("doc_id", "tie", "start")
-    found = samples(docs)
     shared = samples(docs).groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    tied = written(found.join(shared, "bucket"), "tied", tidy=True)
-    ranked = written(tied.groupBy("bucket", "context").agg(F.min(place).alias("first"), F.min("windows").alias("windows")),
-                     "contexts", tidy=True)
+    tied = written(samples(docs).join(shared, "bucket"), "tied", tidy=True)
+    ranked = written(tied.groupBy("bucket", "context").agg(
+        F.min(place).alias("first"), F.min("windows").alias("windows"), F.min("lead").alias("lead")), "contexts", tidy=True)
     several = ranked.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    open_ = ranked.join(several, "bucket").select("first.*", "windows").groupBy("doc_id", "tie").agg(
-        F.collect_list(F.struct("start", "windows")).alias("parts"))
-    windows = written(_by_document(docs, open_, "inner").mapInArrow(
-        _window_hashes, "doc_id long, tie int, start int, h1 long, h2 long"), "windows", tidy=True)
-    again = windows.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
-    later = windows.join(again, ["h1", "h2"]).where(place != F.col("first"))
-    context, first, window = (F.lit(k).cast("tinyint").alias("kind") for k in range(3))
-    stretches = (tied.select("doc_id", "tie", "start", "windows", context)
-                 .union(ranked.select("first.doc_id", "first.tie", "first.start", "windows", first))
-                 .union(later.select("doc_id", "tie", "start", F.lit(1), window)))
+    open_ = ranked.join(several, "bucket").select("first.*", "windows", "lead", "bucket").groupBy("doc_id", "tie").agg(
+        F.collect_list(F.struct("start", "windows", "lead", "bucket")).alias("parts"))
+    cells = written(_by_document(docs, open_, "inner").mapInArrow(
+        _cells, "doc_id long, tie int, start int, windows tinyint, near tinyint, bucket long, cell tinyint, core long, "
+                "content long, before long, after long"), "cells", tidy=True)
+    kind = ["bucket", "cell", "core"]
+    firsts = written(cells.groupBy(*kind, "content", "windows", "near").agg(
+        F.min(F.struct("doc_id", "tie", "start", "before", "after")).alias("first")), "first-cells", tidy=True)
+    edges = firsts.groupBy(*kind).agg(F.count("*").alias("n")).where("n > 1").select(*kind)
+    # distance k within the cell: the last k bytes before the core, the first 8 - k after it
+    windows = firsts.join(edges, kind).select(*kind, "near", "windows", "first.*") \
+        .select("*", F.explode(F.expr("sequence(int(near), near + windows - 1)")).alias("k")) \
+        .select(*kind, "k", "doc_id", "tie", F.expr("int(start + (near + windows - 1 - k))").alias("start"),
+                F.expr("if(k = 0, 0L, before & (shiftrightunsigned(-1L, 64 - 8 * k)))").alias("before"),
+                F.expr("if(k = 8, 0L, shiftrightunsigned(after, 8 * k))").alias("after"))
+    windows = written(windows, "windows", tidy=True)
+    window = [*kind, "k", "before", "after"]
+    again = windows.groupBy(*window).agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    later = windows.join(again, window).where(place != F.col("first"))
+
+    def stretch(rows: DataFrame, code: int, at: str = "") -> DataFrame:
+        return rows.select(f"{at}doc_id", f"{at}tie", f"{at}start", F.col("windows").cast("tinyint").alias("windows"),
+                           F.lit(code).cast("tinyint").alias("kind"))
+
+    stretches = stretch(tied, 0).union(stretch(ranked, 1, "first.")).union(stretch(cells, 2)) \
+        .union(stretch(firsts, 3, "first.")).union(stretch(later.withColumn("windows", F.lit(1)), 4))
     parts = written(stretches.groupBy("doc_id", "tie").agg(
         F.collect_set(F.struct("start", "windows", "kind")).alias("parts")), "repeated", tidy=True)
-    for t in (tied, ranked, windows):
+    for t in (tied, ranked, cells, firsts, windows):
         discard(t)
     return parts
 
 
-def _covered(n: int, parts: list[dict] | None) -> np.ndarray:
+def _covered(n: int, parts: pa.Scalar) -> np.ndarray:
     """Which of n bytes lie in a repeated stretch."""
     edge = np.zeros(n + 1, np.int32)
-    first = {p["start"] for p in parts or () if p["kind"] == 1}
-    own = [(p["start"], p["windows"]) for p in parts or ()
-           if p["kind"] == 2 or p["kind"] == 0 and p["start"] not in first]
-    if own:
-        start, windows = np.array(own).T
-        np.add.at(edge, start, 1)
-        np.add.at(edge, np.minimum(start + windows - 1 + LENGTH, n), -1)
+    if parts.is_valid:
+        start, windows, kind = (parts.values.field(k).to_numpy() for k in range(3))
+        own = (kind == 4) | (kind == 0) & ~np.isin(start, start[kind == 1]) | (kind == 2) & ~np.isin(start, start[kind == 3])
+        one = np.ones(int(own.sum()), np.int32)
+        np.add.at(edge, start[own].astype(np.int64), one)
+        np.add.at(edge, np.minimum(start[own] + windows[own].astype(np.int64) - 1 + LENGTH, n), -one)
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -220,7 +262,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 n_bytes, removed, spans, kept = [], [], [], []
                 for i in rows:
                     text = raw[off[i]:off[i + 1]]
-                    gone = _covered(len(text), batch.column(3)[i].as_py())
+                    gone = _covered(len(text), batch.column(3)[i])
                     edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
                     n_bytes.append(len(text))
                     removed.append(int(gone.sum()))
