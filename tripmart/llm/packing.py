@@ -22,6 +22,7 @@ columns are left out. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from itertools import chain
@@ -29,6 +30,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +39,8 @@ from tripmart.llm.common import as_array, bytes_of, word_blocks, written
 SEQUENCE = 2048
 END_ID = 1
 RANK_BLOCK = 50_000
-MOST_WORDS = 250_000
-BATCH_IDS = 1 << 20
+MOST_WORDS = 400_000
+BATCH_BYTES = 1 << 21
 
 
 def default_tokenizer() -> str:
@@ -48,23 +50,79 @@ def default_tokenizer() -> str:
 
 
 class WordTokenizer:
-    """Ids of texts, word by word, remembering up to MOST_WORDS words."""
+    """Ids of words, little-endian 32-bit, remembering up to MOST_WORDS words.
+
+    New words are tokenized many at a time, divided by a word of their own. If
+    the tokenizer lower-cases, splits at the pattern SPLIT and merges the bytes
+    of each part, words of Latin letters, digits and marks go to its merges
+    directly, part by part: for them that is all that its other steps do."""
+
+    DIVIDER = "\ue000"
+    SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    PLAIN = r"[\x21-\x7e\u00a1-\u012f\u0131-\u024f]+"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, list[int]] = {}
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        new = [w for w in set(words) if w not in self.known]
+        self.known: dict[bytes, bytes] = {}
+        self.divider = self._encode(self.DIVIDER)
+        self.plain, self.split = regex.compile(self.PLAIN), regex.compile(self.SPLIT)
+        self.parts: dict[str, bytes] = {}
+        steps = json.loads(self.tokenizer.to_str())
+        kinds = [x.get("pattern") or x["type"] for k in ("normalizer", "pre_tokenizer")
+                 for x in (steps[k] or {}).get("normalizers", (steps[k] or {}).get("pretokenizers", []))]
+        self.direct = kinds == ["NFC", {"Regex": r"\s+"}, "Lowercase", {"Regex": self.SPLIT}, "ByteLevel"]
+        # byte-level alphabet: printable bytes stand for themselves, the others
+        # follow from 256 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.alphabet = {b: 256 + k for k, b in enumerate(hidden)}
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _part(self, part: str) -> bytes:
+        got = self.parts.get(part)
+        if got is None:
+            tokens = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.alphabet))
+            if len(self.parts) > MOST_WORDS:
+                self.parts.clear()
+            got = self.parts[part] = np.array([t.id for t in tokens], "<u4").tobytes()
+        return got
+
+    def learn(self, words: set[bytes]) -> None:
+        """Make sure that all of the words are known."""
+        new = words.difference(self.known)
         if len(self.known) + len(new) > MOST_WORDS:
-            self.known, new = {}, list(set(words))
-        if new:
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            self.known.update((w, e.ids) for w, e in zip(new, found, strict=True))
-        return np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.dtype("<u4"))
+            self.known, new = {}, words
+        plain = []
+        for w in new:
+            t = w.decode("utf-8", "replace")
+            if self.direct and "<|" not in t and self.plain.fullmatch(t):
+                self.known[w] = b"".join(map(self._part, self.split.findall(t.lower())))
+            elif self.DIVIDER in t:
+                self.known[w] = self._encode(t).tobytes()
+            else:
+                plain.append((w, t))
+        for k in range(0, len(plain), 20_000):
+            part = plain[k:k + 20_000]
+            ids = self._encode(f" {self.DIVIDER} ".join(t for _, t in part))
+            n = len(self.divider)
+            at = np.flatnonzero(ids[:len(ids) - n + 1] == self.divider[0])
+            for j in range(1, n):
+                at = at[ids[at + j] == self.divider[j]]
+            starts = np.concatenate([[0], at + n]) * 4
+            ends = np.concatenate([at, [len(ids)]]) * 4
+            if len(starts) != len(part):  # a tokenizer whose splits reach across white space
+                self.known.update((w, self._encode(t).tobytes()) for w, t in part)
+                continue
+            raw = ids.tobytes()
+            self.known.update((w, raw[a:b]) for (w, _), a, b in zip(part, starts.tolist(), ends.tolist(), strict=True))
+
+    def ids(self, words: list[bytes]) -> bytes:
+        return b"".join(map(self.known.__getitem__, words))
 
 
 def tokenize(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -74,32 +132,41 @@ def tokenize(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_to_ids = WordTokenizer(tokenizer or default_tokenizer())
-        for batch in batches:
-            raw, off = bytes_of(as_array(batch.column(1)))
-            rows, starts, lengths, totals, pieces, size = [], [], [], [], [], 0
-
-            def flush():
-                return pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()),
-                     pa.array(lengths, pa.int64()), pa.array(totals, pa.int64()), pa.array(pieces, pa.binary())],
-                    ["doc_id", "start", "length", "doc_tokens", "ids"])
-
-            for i in range(batch.num_rows):
-                parts = [words_to_ids.ids(w) for w in word_blocks(raw, off[i], off[i + 1])]
-                ids = np.concatenate([*parts, np.array([END_ID], "<u4")])
-                for at in range(0, len(ids), SEQUENCE):
-                    piece = ids[at:at + SEQUENCE]
+        end = np.array([END_ID], "<u4").tobytes()
+
+        def pieces(doc_ids: pa.Array, texts: list[bytes]) -> pa.RecordBatch:
+            rows, starts, lengths, totals, cut = [], [], [], [], []
+            for i, ids in enumerate(texts):
+                n = len(ids) // 4
+                for at in range(0, n, SEQUENCE):
                     rows.append(i)
                     starts.append(at)
-                    lengths.append(len(piece))
-                    totals.append(len(ids))
-                    pieces.append(piece.tobytes())
-                size += len(ids)
-                if size > BATCH_IDS:
-                    yield flush()
-                    rows, starts, lengths, totals, pieces, size = [], [], [], [], [], 0
-            if rows:
-                yield flush()
+                    lengths.append(min(SEQUENCE, n - at))
+                    totals.append(n)
+                    cut.append(ids[4 * at:4 * (at + SEQUENCE)])
+            return pa.RecordBatch.from_arrays(
+                [doc_ids.take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
+                 pa.array(totals, pa.int64()), pa.array(cut, pa.binary())], ["doc_id", "start", "length", "doc_tokens", "ids"])
+
+        for batch in batches:
+            raw, off = bytes_of(as_array(batch.column(1)))
+            at = 0
+            while at < batch.num_rows:
+                stop = at + 1
+                while stop < batch.num_rows and off[stop + 1] - off[at] <= BATCH_BYTES:
+                    stop += 1
+                if off[stop] - off[at] <= BATCH_BYTES:
+                    split = [raw[off[i]:off[i + 1]].tobytes().split() for i in range(at, stop)]
+                    words_to_ids.learn(set(chain.from_iterable(split)))
+                    texts = [words_to_ids.ids(words) + end for words in split]
+                else:  # one long text
+                    parts = []
+                    for words in word_blocks(raw, off[at], off[stop]):
+                        words_to_ids.learn(set(words))
+                        parts.append(words_to_ids.ids(words))
+                    texts = [b"".join([*parts, end])]
+                yield pieces(batch.column(0).slice(at, stop - at), texts)
+                at = stop
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, start long, length long, doc_tokens long, ids binary")
