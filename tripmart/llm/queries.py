@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import decontam, lang_id, line_dedup, near_dup, packing, quality, substrings, toxicity, url_filter
+from tripmart.llm import decontam, lang_id, line_dedup, lm_score, near_dup, packing, quality, substrings, toxicity, url_filter
 from tripmart.llm.common import table
 
 
@@ -45,6 +45,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ REGISTRY = {
     "op5_repeated_substrings": op5_repeated_substrings,
     "op6_decontaminate": op6_decontaminate,
     "op7_line_dedup": op7_line_dedup,
+    "op8_lm_score": op8_lm_score,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
 }
