@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import lang_id, line_dedup, near_dup
+from tripmart.llm import decontam, lang_id, line_dedup, near_dup, packing
 from tripmart.llm.common import table, written
 
 
@@ -28,10 +28,22 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_dup.keep_first(docs)
 
 
+def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents left, with their places in the sequences."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
     ("language_id", language),
     ("line_dedup", lines),
     ("near_dup", near_copies),
+    ("decontaminate", clean_of_benchmark),
+    ("packing", packed),
 ]
 
 #: Language ID and the decontamination learn from the corpus, the near-duplicate
