@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import gc
+import sys
+import time
+import types
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +31,10 @@ def written(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     path = new_table_path(spark, f"llm-{name}")
     df.write.parquet(path)
     if tidy:
-        spark._jvm.System.gc()
+        for _ in range(2):
+            gc.collect()
+            spark._jvm.System.gc()
+            time.sleep(0.3)
     out = spark.read.schema(df.schema).parquet(path)
     out._llm_path = path
     return out
@@ -57,6 +65,14 @@ def row_key(*cols: str) -> Column:
     return F.xxhash64(*cols)
 
 
+def per_worker(key: str, make):
+    """One object per Python worker process, kept from task to task."""
+    kept = sys.modules.setdefault("_kept_in_worker", types.ModuleType("_kept_in_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column without a copy, and the n + 1 offsets
     of its rows; a null row is empty."""

@@ -11,7 +11,7 @@ offset each piece gets. Ranks are made in blocks of about ``RANK_BLOCK`` pieces
 with block offsets, so a length that a third of all pieces share is no single
 task.
 
-Words are tokenized once per worker and remembered (a bounded number); the
+Words are tokenized once per Python worker and remembered (a bounded number); the
 tokenizer's normalizer and splitter never reach across ASCII white space, which
 is where texts are split, so the ids are those of the whole text.
 
@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import as_array, bytes_of, word_blocks, written
+from tripmart.llm.common import as_array, bytes_of, per_worker, word_blocks, written
 
 SEQUENCE = 2048
 END_ID = 1
@@ -131,7 +131,8 @@ def tokenize(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     has at that path; by default that of the installed public tokenizers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_to_ids = WordTokenizer(tokenizer or default_tokenizer())
+        path = tokenizer or default_tokenizer()
+        words_to_ids = per_worker(f"tokenizer {path}", lambda: WordTokenizer(path))
         end = np.array([END_ID], "<u4").tobytes()
 
         def pieces(doc_ids: pa.Array, texts: list[bytes]) -> pa.RecordBatch:
