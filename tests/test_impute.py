@@ -53,22 +53,28 @@ def test_percentile_disc_descending_is_upper_median(spark):
     assert r.m == 3
 
 
-def test_percentile_null_group_kept_both_levels(spark):
+def test_percentile_null_group_kept(spark):
     rows = [(None, float(v)) for v in range(10)] + [("a", 1.0), ("a", 3.0)]
     df = spark.createDataFrame(rows, "g string, v double")
-    for b in (1, 64):
-        got = {r.g: r.p for r in P.percentile_cont(df, ["g"], F.col("v"), {"p": 0.5}, b).collect()}
-        assert got == {None: 4.5, "a": 2.0}
+    got = {r.g: r.p for r in P.percentile_cont(df, ["g"], F.col("v"), {"p": 0.5}).collect()}
+    assert got == {None: 4.5, "a": 2.0}
 
 
-def test_adaptive_split_of_a_hot_group_is_exact(spark, monkeypatch):
+def test_split_of_a_hot_group_is_exact_and_even(spark):
     import random
 
     rnd = random.Random(3)
     rows = [("hot", rnd.random()) for _ in range(4000)] + [("cold", float(i)) for i in range(9)]
     df = spark.createDataFrame(rows, "g string, v double")
-    monkeypatch.setattr(P, "SINGLE_TASK_VALUES", 500)  # the hot group must be split
     got = {r.g: r.p for r in P.percentile_cont(df, ["g"], F.col("v"), {"p": 0.9}).collect()}
     ref = {r.g: r.p for r in df.groupBy("g").agg(F.percentile("v", 0.9).alias("p")).collect()}
     assert got.keys() == ref.keys()
     assert all(abs(got[k] - ref[k]) < 1e-12 for k in ref)
+
+
+def test_medians_are_values_of_their_columns(spark):
+    from decimal import Decimal
+
+    big, fine = 2**60 + 1, Decimal("0.123456789012")
+    df = spark.createDataFrame([(big, 0.5, fine), (None, None, None)], "a bigint, b double, c decimal(20,12)")
+    assert I.fit_medians(df, ["a", "b", "c"]) == {"a": big, "b": 0.5, "c": fine}

@@ -27,6 +27,19 @@ def test_null_ranks_first_in_tip_pct_top(spark):
     assert [(r.zone_name, r.avg_tip_pct) for r in out] == [("Zero", None), ("Half", 50.0)]
 
 
+def test_ranks_before_rounding(spark):
+    """Two zones that differ only beyond the sixth place: the exact value decides."""
+    rows = [trip(pu=1, fare=50_000_000.0, tip=10.00, total=60_000_000.0) for _ in range(100)]
+    rows += [trip(pu=2, fare=50_000_000.0, tip=10.05, total=60_000_000.0) for _ in range(100)]
+    star = star_of(spark, rows, [(1, "Queens", "A lower"), (2, "Queens", "B higher")])
+    out = Q.q13_top_zones_by_tip_pct(star, n=1).collect()
+    assert [(r.zone_name, r.avg_tip_pct) for r in out] == [("B higher", 0.00002)]
+    rows = [trip(pu=1, dropoff="2024-01-01 08:30:00")] * 3 + [trip(pu=2, dropoff="2024-01-01 08:30:00.000010")] * 3
+    star = star_of(spark, rows, [(1, "Queens", "A lower"), (2, "Queens", "B higher")])
+    out = Q.q19_top_zones_by_p90(star, n=1).collect()
+    assert [(r.zone_name, r.p90_duration_min) for r in out] == [("B higher", 30.0)]
+
+
 def test_tie_at_top_k_cut_keeps_smaller_name(spark):
     rows = [trip(pu=1)] * 3 + [trip(pu=2)] * 2 + [trip(pu=3)] * 2
     star = star_of(spark, rows, [(1, "Q", "A"), (2, "Q", "C"), (3, "Q", "B")])

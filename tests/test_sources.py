@@ -26,10 +26,10 @@ def test_csv_sample_round_trip(spark, tmp_path):
     schema = "PassengerId int, Survived int, Pclass int, Age double, SibSp int, Parch int, Fare double"
     df = L.read_csv(spark, str(p), schema)
     cols = ["Age", "Fare", "Parch", "Pclass", "SibSp", "Survived"]
-    clean = I.median_fill(I.select_number_columns(df, cols), cols)
+    clean = I.median_fill(df.select(*cols), cols)
     assert [r.Age for r in clean.collect()] == [22.0, 26.0, 26.0, 35.0]
     out = str(tmp_path / "clean_csv")
-    T.write_csv(clean, out, single_file=True)
+    T.write_csv(clean, out)
     back = L.read_csv(spark, out, ", ".join(f"{c} double" for c in cols))
     assert back.count() == 4
 

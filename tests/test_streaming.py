@@ -41,3 +41,22 @@ def test_stream_ingest_exactly_once(spark, tmp_path):
     assert counts(spark, bronze) == {("2024-01", 3), ("2024-02", 2)}
     row = spark.read.parquet(bronze).first()
     assert row.service_type == "yellow" and row.vendorid == 2 and row.passenger_count == 1
+
+
+def test_stream_and_batch_take_turns(spark, tmp_path):
+    """A month replaced by the batch loader is there for the next stream run,
+    and a second file of a month brings the whole month."""
+    from tripmart.operators.bronze import load_months, to_bronze_trips
+    from tripmart.streaming.ingest import landing_schema
+
+    land, bronze, ckpt = tmp_path / "landing", str(tmp_path / "bronze"), str(tmp_path / "ckpt")
+    land_month(land, "2024-01", 3)
+    land_month(land, "2024-02", 4)
+    start_ingest(spark, str(land), "yellow", bronze, ckpt).awaitTermination()
+    month = spark.read.schema(landing_schema("yellow")).parquet(str(land)).where("source_month = '2024-01'")
+    load_months(spark, to_bronze_trips(month.limit(1), "yellow"), bronze)
+    assert counts(spark, bronze) == {("2024-01", 1), ("2024-02", 4)}
+    (land / "source_month=2024-02" / "part-1.parquet").write_bytes(
+        (land / "source_month=2024-02" / "part-0.parquet").read_bytes())
+    start_ingest(spark, str(land), "yellow", bronze, ckpt).awaitTermination()
+    assert counts(spark, bronze) == {("2024-01", 1), ("2024-02", 8)}

@@ -58,9 +58,13 @@ def safe_ratio(num, den) -> Column:
     return _c(num).cast("double") / F.nullif(_c(den).cast("double"), F.lit(0.0))
 
 
-def tip_pct(tip="tip_amount", fare="fare_amount") -> Column:
+def tip_pct_exact(tip="tip_amount", fare="fare_amount") -> Column:
     """Mean of tip/fare times 100; zero fares are left out of the mean."""
-    return round6(F.avg(safe_ratio(tip, fare)) * 100.0)
+    return F.avg(safe_ratio(tip, fare)) * 100.0
+
+
+def tip_pct(tip="tip_amount", fare="fare_amount") -> Column:
+    return round6(tip_pct_exact(tip, fare))
 
 
 def money_sum(c) -> Column:

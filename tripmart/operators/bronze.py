@@ -9,6 +9,7 @@ month leaves old rows untouched, and all months load in one Spark job
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -21,6 +22,9 @@ from tripmart.sources import landing as L
 from tripmart.sources import tables as T
 
 BRONZE_PARTITIONS = ("service_type", "source_month")
+# What Spark's errors say of a file that is absent or no Parquet file.
+UNREADABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "is not a Parquet file",
+              "FileNotFoundException")
 INGEST_COLUMNS = ("ingest_ts", "source_month", "service_type")
 
 
@@ -40,7 +44,7 @@ def with_ingest_columns(df: DataFrame, service_type: str,
 
 
 def repair_int_columns(df: DataFrame, columns: Iterable[str] = INT_REPAIR_COLUMNS) -> DataFrame:
-    """Integer codes that arrive as float become ``bigint``.
+    """Integer codes that arrive as float become ``bigint``, and NaN NULL.
 
     A value with a fraction is an error raised by the executor that meets it;
     it is never truncated."""
@@ -50,6 +54,8 @@ def repair_int_columns(df: DataFrame, columns: Iterable[str] = INT_REPAIR_COLUMN
         c = F.col(f"`{f.name}`")
         if f.name in wanted:
             if f.dataType.typeName() in ("double", "float", "decimal"):
+                if f.dataType.typeName() != "decimal":
+                    c = F.when(~F.isnan(c), c)  # a missing code may arrive as NaN
                 frac = c.isNotNull() & (c != F.floor(c))
                 c = F.when(frac, F.raise_error(F.concat(
                     F.lit(f"fractional value in integer column {f.name}: "),
@@ -114,16 +120,19 @@ def read_landing_months(spark: SparkSession, files: list[tuple[str, str, str]],
     files with two schema versions make two scans, not a thousand-way union.
     ``source_month`` comes from the month file (or folder) name. Every group
     is aligned to the first file's bronze schema before the union (files
-    drift in type and columns); the columns this drops are appended to
-    ``dropped``. A month whose file cannot be read is skipped, so its month
-    in bronze stays as it was, and it is appended to ``failed``."""
+    drift in type and columns; the part files of a folder are merged); the
+    columns this drops are appended to ``dropped``. A month whose file is gone
+    or is no Parquet file is skipped, so its month in bronze stays as it was,
+    and it is appended to ``failed``; any other error is raised."""
     mine = [(month, path) for svc, month, path in files if svc == service]
 
     def footer_schema(path: str) -> str | None:
         try:
-            return spark.read.parquet(path).schema.json()
-        except Exception:  # noqa: BLE001 - unreadable month file: skip the month
-            return None
+            return spark.read.option("mergeSchema", True).parquet(path).schema.json()
+        except Exception as exc:
+            if any(x in str(exc) for x in UNREADABLE):
+                return None
+            raise
 
     # footers only; read concurrently so thousands of files do not queue up
     with ThreadPoolExecutor(max_workers=16) as pool:
@@ -138,9 +147,9 @@ def read_landing_months(spark: SparkSession, files: list[tuple[str, str, str]],
     if not groups:
         return None
     month = F.regexp_extract(F.col("_metadata.file_path"), r"_tripdata_(\d{4}-\d{2})\.parquet", 1)
-    frames = [to_bronze_trips(spark.read.parquet(*paths).withColumn("source_month", month),
-                              service)
-              for paths in groups.values()]
+    frames = [to_bronze_trips(spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*paths)
+                              .withColumn("source_month", month), service)
+              for schema, paths in groups.items()]
     target = frames[0].schema
     out = frames[0]
     for f in frames[1:]:

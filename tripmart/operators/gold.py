@@ -9,6 +9,7 @@ calendar prunes month directories.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -164,7 +165,8 @@ def build_star(spark: SparkSession, silver: DataFrame, zones_bronze: DataFrame,
                 settings, zone_rows)
 
 
-def write_star(spark: SparkSession, star: Star, path: str, rebalance: bool = False) -> Star:
+def write_star(spark: SparkSession, star: Star, path: str, rebalance: bool = False,
+               keep_old: bool = False) -> Star:
     """Materialize the star under ``path`` and return it read back.
 
     The fact is partitioned by ``pickup_month``. By default the write is
@@ -173,7 +175,10 @@ def write_star(spark: SparkSession, star: Star, path: str, rebalance: bool = Fal
     ``rebalance=True`` adds a REBALANCE on the month for inputs that are not
     clustered by month: AQE then splits a hot month over several tasks and
     packs small months together, at the price of one shuffle of the fact.
-    Dimensions are full replaces (the reference truncates and appends)."""
+    Dimensions are full replaces (the reference truncates and appends). All
+    tables go to a new version's folder; ``path/current`` names the version that
+    readers take, and is switched when every table is there."""
+    root, path = path, f"{path}/versions/{uuid.uuid4().hex[:12]}"
     T.write_table(star.fct, f"{path}/fct_trips", partition_by=("pickup_month",),
                   rebalance=("pickup_month",) if rebalance else None, observe="fct_trips")
     T.write_table(star.dim_date, f"{path}/dim_date", observe="dim_date")
@@ -183,7 +188,11 @@ def write_star(spark: SparkSession, star: Star, path: str, rebalance: bool = Fal
     T.write_table(star.dim_payment_type, f"{path}/dim_payment_type",
                   accepted={"payment_type": PAYMENT_TYPES.values()})
     T.write_table(star.dim_vendor, f"{path}/dim_vendor")
-    return read_star(spark, path, star.settings)
+    old = T.read_text(spark, f"{root}/current")
+    T.write_text(spark, f"{root}/current", path.rsplit("/", 1)[1])
+    if old and not keep_old:
+        T.remove(spark, f"{root}/versions/{old}")
+    return read_star(spark, root, star.settings)
 
 
 def read_star(spark: SparkSession, path: str, settings: Settings) -> Star:
@@ -191,6 +200,10 @@ def read_star(spark: SparkSession, path: str, settings: Settings) -> Star:
     fact's ``pickup_month`` directories read as dates)."""
     from tripmart.schemas import STAR_DDL, star_schema
 
+    current = T.read_text(spark, f"{path}/current")
+    if current is None:
+        raise FileNotFoundError(f"no star at {path}")
+    path = f"{path}/versions/{current}"
     t = {name: spark.read.schema(star_schema(name)).parquet(f"{path}/{name}")
          for name in STAR_DDL}
     return Star(t["fct_trips"], t["dim_date"], t["dim_zone"], t["dim_service_type"],

@@ -1,7 +1,7 @@
 """Median imputation: NULLs in each numeric column become that column's
 upper median ``sorted(non_null)[floor(n / 2)]``.
 
-Medians of all columns come from one pass: the columns are unpivoted to
+The columns of one type are unpivoted to
 ``(column, value)`` and the exact histogram median runs grouped by column
 (see ``operators.percentiles``), so a column is reduced to its distinct
 values before any ordering. The result is one small row per column; it is
@@ -15,27 +15,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from tripmart.operators.percentiles import upper_median
 
 c = F.col
 
 
-def _common_type(df: DataFrame, columns: Sequence[str]) -> str:
-    types = [df.schema[x].dataType for x in columns]
-    if all(isinstance(t, DecimalType) or t.typeName() in ("integer", "long", "short", "byte")
-           for t in types):
-        return "decimal(38,10)"
-    return "double"
-
-
 def upper_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column, median`` (median as a common numeric type), one row per column."""
-    t = _common_type(df, columns)
-    long = df.select(*[c(x).cast(t).alias(x) for x in columns]).unpivot(
-        [], list(columns), "column", "value")
-    return upper_median(long, ["column"], c("value"), "median")
+    """``column, median`` (as text, which gives the value back exactly), one row
+    per column. Columns of one type are unpivoted together, so every median is
+    a value of its column; the input is read once per type."""
+    by_type: dict[str, list[str]] = {}
+    for x in columns:
+        by_type.setdefault(df.schema[x].dataType.simpleString(), []).append(x)
+    parts = [upper_median(df.select(*names).unpivot([], names, "column", "value"),
+                          ["column"], c("value"), "median")
+             .select("column", c("median").cast("string").alias("median"))
+             for names in by_type.values()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
 
 
 def upper_median_row(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -65,6 +65,3 @@ def median_fill(df: DataFrame, columns: Sequence[str], medians: dict | None = No
         out.append(col.alias(f.name))
     return df.select(*out)
 
-
-def select_number_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*columns)

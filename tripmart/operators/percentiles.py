@@ -5,27 +5,15 @@
 1. ``groupBy(groups, value).count()``: a combinable aggregate, shuffled on
    (group, value), so a group holding a third of all rows is spread over
    all reducers by value and shrinks to one row per distinct value.
-2. Each distinct value needs its rank range ``[cum - n, cum)`` in its group.
-   The running count is computed in two levels, so that no task receives a
-   whole group even when a hot group has as many distinct values as rows:
-   the group's distinct values are cut into ``buckets`` ordered ranges at
-   approximate quantiles (a bounded sketch per group); exact counts per
-   (group, range) give each range its offset on a table of
-   groups x buckets rows; a window per (group, range) adds the running
-   count inside the range. The cut points only decide how the work is
-   split. The ranks are exact.
+2. The histogram is range-partitioned by (group, value) and written once, under
+   the shared checkpoint folder, with each row's range number. Each distinct
+   value needs its rank range ``[cum - n, cum)`` in its group: the counts of a
+   group's ranges are summed in order (one row per group and range), and a
+   window per (group, range) adds the running count inside the range. The
+   ranges are balanced by rows, so a group with as many distinct values as
+   rows is spread over many tasks; the ranks are exact.
 3. A second aggregate per group picks the values at ranks floor/ceil of
    ``(total - 1) * p`` and interpolates linearly (the SQL definition).
-
-``buckets=1`` skips the cuts: one window per group over its distinct values.
-``buckets=None`` (the default) decides from the data. A narrow count per
-group (rows bound distinct values) is read first; up to
-``SINGLE_TASK_VALUES`` the one-level window is safe. Otherwise the histogram
-is written once as a table under the shared checkpoint folder (it is read
-three times; the write also cuts its lineage), its widest group's number of
-distinct values is read, and the two-level split is used when that still
-exceeds ``SINGLE_TASK_VALUES``, with enough ranges to bring each range under a
-quarter of it.
 """
 
 from __future__ import annotations
@@ -35,13 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.config import REFERENCE
 from tripmart.session import new_table_path
 
-SINGLE_TASK_VALUES = 2_000_000   # distinct values one window task may sort
-MAX_BUCKETS = 4096
-MAX_BROADCAST_ROWS = REFERENCE.broadcast_max_rows
-
 
 def _histogram(df: DataFrame, groups: Sequence[str], value: Column) -> DataFrame:
     g = list(groups)
@@ -64,69 +47,29 @@ def _join_on_groups(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(r, cond, how).drop(*[f"_r{i}" for i in range(len(keys))])
 
 
-def _ranked_one_level(hist: DataFrame, groups: Sequence[str]) -> DataFrame:
-    g = list(groups)
-    order = Window.partitionBy(*g).orderBy(F.col("_v").asc_nulls_last())
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return hist.select(*g, "_v", "_n", F.sum("_n").over(running).alias("_cum"),
-                       F.sum("_n").over(whole).alias("_tot"))
-
-
-def _ranked_two_level(hist: DataFrame, groups: Sequence[str], buckets: int,
-                      max_broadcast_rows: int) -> DataFrame:
-    g = list(groups)
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = hist.groupBy(*g).agg(F.percentile_approx("_v", probs, 1000).alias("_cuts"))
-
-    n_groups = cuts.count()  # one row per group: the size check for broadcasting
-    cuts = F.broadcast(cuts) if n_groups <= max_broadcast_rows else cuts
-    bucket = F.coalesce(F.size(F.filter(F.col("_cuts"), lambda x: x < F.col("_v"))), F.lit(0))
-    hb = _join_on_groups(hist, cuts, g, "left").select(*g, "_v", "_n", bucket.alias("_b"))
-    # exact count per (group, range) and each range's offset in its group
-    per = hb.groupBy(*g, "_b").agg(F.sum("_n").alias("_bn"))
-    w = Window.partitionBy(*g).orderBy("_b")
-    offs = per.select(*g, "_b",
-                      F.coalesce(F.sum("_bn").over(
-                          w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-                      F.sum("_bn").over(
-                          w.rowsBetween(Window.unboundedPreceding,
-                                        Window.unboundedFollowing)).alias("_tot"))
-    if n_groups * buckets <= max_broadcast_rows:
-        offs = F.broadcast(offs)
-    local = Window.partitionBy(*g, "_b").orderBy(F.col("_v").asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return (_join_on_groups(hb, offs, [*g, "_b"])
-            .select(*g, "_v", "_n", (F.col("_off") + F.sum("_n").over(local)).alias("_cum"),
-                    "_tot"))
-
-
-def _ranked_histogram(df: DataFrame, groups: Sequence[str], value: Column,
-                      buckets: int | None = None,
-                      max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def _ranked_histogram(df: DataFrame, groups: Sequence[str], value: Column) -> DataFrame:
     """Histogram rows ``groups, _v, _n, _cum, _tot`` with exact running counts.
 
     Without group columns the whole input is one group, keyed by a constant."""
     if not groups:
         df, groups = df.withColumn("_all", F.lit(0)), ["_all"]
-    hist = _histogram(df, groups, value)
-    if buckets is None:
-        # rows bound distinct values: a narrow count per group decides
-        widest = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
-        if widest <= SINGLE_TASK_VALUES:
-            buckets = 1
-        else:
-            # the two-level path reads the histogram three times: write it once
-            spark = df.sparkSession
-            path = new_table_path(spark, "histogram")
-            hist.write.mode("overwrite").parquet(path)
-            hist = spark.read.parquet(path)
-            widest = hist.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
-            buckets = 1 if widest <= SINGLE_TASK_VALUES else min(
-                MAX_BUCKETS, -(-4 * widest // SINGLE_TASK_VALUES))
-    if buckets <= 1:
-        return _ranked_one_level(hist, groups)
-    return _ranked_two_level(hist, groups, buckets, max_broadcast_rows)
+    g, spark = list(groups), df.sparkSession
+    path = new_table_path(spark, "histogram")
+    (_histogram(df, g, value).repartitionByRange(*g, "_v")
+     .withColumn("_part", F.spark_partition_id()).write.parquet(path))
+    hist = spark.read.parquet(path)
+    per = hist.groupBy(*g, "_part").agg(F.sum("_n").alias("_pn"))
+    order = Window.partitionBy(*g).orderBy("_part")
+    offs = per.select(*g, "_part",
+                      F.coalesce(F.sum("_pn").over(order.rowsBetween(Window.unboundedPreceding, -1)),
+                                 F.lit(0)).alias("_off"),
+                      F.sum("_pn").over(order.rowsBetween(Window.unboundedPreceding,
+                                                          Window.unboundedFollowing)).alias("_tot"))
+    local = Window.partitionBy(*g, "_part").orderBy(F.col("_v").asc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    running = hist.select(*g, "_part", "_v", "_n", F.sum("_n").over(local).alias("_inner"))
+    return (_join_on_groups(running, offs, [*g, "_part"])
+            .select(*g, "_v", "_n", (F.col("_off") + F.col("_inner")).alias("_cum"), "_tot"))
 
 
 def _value_at(rank: Column) -> Column:
@@ -136,12 +79,12 @@ def _value_at(rank: Column) -> Column:
 
 
 def percentile_cont(df: DataFrame, groups: Sequence[str], value: Column,
-                    probs: dict[str, float], buckets: int | None = None) -> DataFrame:
+                    probs: dict[str, float]) -> DataFrame:
     """Exact continuous percentiles of ``value`` per group.
 
     ``probs`` maps output column -> p in [0, 1]. Groups whose values are all
     NULL get NULL. Output: group columns + one double column per entry."""
-    ranked = _ranked_histogram(df, groups, value, buckets)
+    ranked = _ranked_histogram(df, groups, value)
     tot = F.col("_tot")
     aggs, finals = [], []
     for name, p in probs.items():
@@ -155,11 +98,10 @@ def percentile_cont(df: DataFrame, groups: Sequence[str], value: Column,
 
 
 def percentile_disc(df: DataFrame, groups: Sequence[str], value: Column,
-                    probs: dict[str, float], descending: bool = False,
-                    buckets: int | None = None) -> DataFrame:
+                    probs: dict[str, float], descending: bool = False) -> DataFrame:
     """Exact discrete percentiles: the first value whose cumulative share
     reaches p, in ascending (or descending) order. Output keeps the input type."""
-    ranked = _ranked_histogram(df, groups, value, buckets)
+    ranked = _ranked_histogram(df, groups, value)
     tot = F.col("_tot")
     aggs = []
     for name, p in probs.items():
@@ -172,9 +114,9 @@ def percentile_disc(df: DataFrame, groups: Sequence[str], value: Column,
 
 
 def upper_median(df: DataFrame, groups: Sequence[str], value: Column,
-                 name: str = "median", buckets: int | None = None) -> DataFrame:
+                 name: str = "median") -> DataFrame:
     """``sorted(values)[floor(n / 2)]``: the upper median for even counts
     (equal to ``percentile_disc(0.5)`` over a descending order)."""
-    ranked = _ranked_histogram(df, groups, value, buckets)
+    ranked = _ranked_histogram(df, groups, value)
     k = F.floor(F.col("_tot") / 2)
     return ranked.groupBy(*groups).agg(_value_at(k).alias(name))

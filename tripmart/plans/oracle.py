@@ -180,7 +180,9 @@ ORDER BY total_revenue DESC NULLS FIRST, z.zone_name ASC NULLS LAST LIMIT {n}"""
         "q13_top_zones_by_tip_pct": f"""
 SELECT z.zone_name, COUNT(*) AS total_trips, {TIP} AS avg_tip_pct
 FROM fct f JOIN dim_zone z ON f.pu_zone_key = z.zone_key GROUP BY z.zone_name
-HAVING COUNT(*) >= {m} ORDER BY avg_tip_pct DESC NULLS FIRST, z.zone_name ASC NULLS LAST LIMIT {n}""",
+HAVING COUNT(*) >= {m}
+ORDER BY AVG(CAST(f.tip_amount AS DOUBLE) / NULLIF(CAST(f.fare_amount AS DOUBLE), 0)) DESC NULLS FIRST,
+  z.zone_name ASC NULLS LAST LIMIT {n}""",
         "q14_cash_vs_card": f"""
 SELECT p.payment_type, COUNT(*) AS total_trips, {REV} AS total_revenue, {TIP} AS avg_tip_pct
 FROM fct f JOIN dim_payment_type p ON f.payment_type_key = p.payment_type_key
@@ -204,7 +206,7 @@ FROM _minutes f JOIN dim_zone z ON f.pu_zone_key = z.zone_key GROUP BY z.borough
         "q19_top_zones_by_p90": f"""
 SELECT z.zone_name, ROUND(quantile_cont(f.minutes, 0.9), 6) AS p90_duration_min
 FROM _minutes f JOIN dim_zone z ON f.pu_zone_key = z.zone_key GROUP BY z.zone_name
-ORDER BY p90_duration_min DESC NULLS FIRST, z.zone_name ASC NULLS LAST LIMIT {n}""",
+ORDER BY quantile_cont(f.minutes, 0.9) DESC NULLS FIRST, z.zone_name ASC NULLS LAST LIMIT {n}""",
         "q20_top_routes": f"""
 SELECT puz.borough AS pickup_borough, doz.borough AS dropoff_borough, COUNT(*) AS total_trips
 FROM fct f JOIN dim_zone puz ON f.pu_zone_key = puz.zone_key

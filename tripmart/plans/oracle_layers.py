@@ -113,6 +113,27 @@ FROM bronze_all""",
 SELECT service_type, source_month, COUNT(*) AS trips,
   CAST(SUM(CAST(total_amount AS DECIMAL(10,2))) AS DECIMAL(28,2)) AS revenue
 FROM bronze_all GROUP BY service_type, source_month""",
+        "bronze_align": """
+SELECT source_month, COUNT(*) AS trips,
+  COUNT(CASE WHEN CAST(substr(source_month, 6, 2) AS INTEGER) % 2 = 1 THEN ratecodeid END) AS ratecodes,
+  COUNT(passenger_count) AS passengers, 16 AS n_columns
+FROM bronze_all WHERE service_type = 'yellow' GROUP BY source_month""",
+        "landing_load": f"""
+SELECT p.service_type, p.source_month, COALESCE(b.trips, 0) AS trips, COALESCE(b.ratecodes, 0) AS ratecodes,
+  (SELECT COUNT(*) FROM bronze_all x WHERE x.service_type = p.service_type
+     AND substr(x.source_month, 6, 2) <> '03') AS rows_loaded
+FROM ({_plan(f"DATE '{s.plan_start}'", f"DATE '{s.plan_end}'")}) p
+LEFT JOIN (
+  SELECT service_type, source_month, COUNT(*) AS trips,
+    COUNT(CASE WHEN CAST(substr(source_month, 6, 2) AS INTEGER) % 2 = 1 THEN ratecodeid END) AS ratecodes
+  FROM bronze_all WHERE substr(source_month, 6, 2) <> '03' GROUP BY service_type, source_month) b
+  ON p.service_type = b.service_type AND p.source_month = b.source_month""",
+        "lookup_reload": "SELECT locationid, borough, _zone, 'static' AS source_month, 'lookup' AS service_type FROM bronze_zones",
+        "gold_reload": "SELECT 'fct_trips' AS table_name, (SELECT COUNT(*) FROM fct) AS n" + "".join(
+            f" UNION ALL SELECT '{t}', (SELECT COUNT(*) FROM {t})"
+            for t in ("dim_date", "dim_zone", "dim_service_type", "dim_payment_type", "dim_vendor")),
+        "zone_buckets": _with_trips("dim_zone", "zone_key", "pu_zone_key"),
+        "list_partitions": _with_trips("dim_service_type", "service_id", "service_key"),
         "stream_ingest": """
 SELECT service_type, source_month, COUNT(*) AS trips,
   CAST(SUM(CAST(total_amount AS DECIMAL(10,2))) AS DECIMAL(28,2)) AS revenue

@@ -27,6 +27,7 @@ from tripmart.functions.columns import (
     round6,
     safe_ratio,
     tip_pct,
+    tip_pct_exact,
 )
 from tripmart.operators.gold import Star
 from tripmart.operators.joins import join_date, literal
@@ -163,9 +164,10 @@ def q13_top_zones_by_tip_pct(star: Star, min_trips: int | None = None,
     n = star.settings.top_n if n is None else n
     z = _zone(star, "pu_zone_key", ("zone_name",))
     agg = (star.fct.join(z, "pu_zone_key").groupBy("zone_name")
-           .agg(_n().alias("total_trips"), tip_pct().alias("avg_tip_pct"))
+           .agg(_n().alias("total_trips"), tip_pct_exact().alias("avg_tip_pct"))
            .where(c("total_trips") >= min_trips))
-    return _top(agg, n, nulls_large_desc("avg_tip_pct"), nulls_large_asc("zone_name"))
+    top = _top(agg, n, nulls_large_desc("avg_tip_pct"), nulls_large_asc("zone_name"))
+    return top.withColumn("avg_tip_pct", round6("avg_tip_pct"))
 
 
 def q14_cash_vs_card(star: Star, classes=None) -> DataFrame:
@@ -216,8 +218,8 @@ def q19_top_zones_by_p90(star: Star, n: int | None = None) -> DataFrame:
     trips = star.fct.join(z, "pu_zone_key")
     p = percentile_cont(trips, ["zone_name"], minutes_between("pickup_ts", "dropoff_ts"),
                         {"p90_duration_min": 0.9})
-    p = p.select("zone_name", round6("p90_duration_min").alias("p90_duration_min"))
-    return _top(p, n, nulls_large_desc("p90_duration_min"), nulls_large_asc("zone_name"))
+    top = _top(p, n, nulls_large_desc("p90_duration_min"), nulls_large_asc("zone_name"))
+    return top.select("zone_name", round6("p90_duration_min").alias("p90_duration_min"))
 
 
 # 4. Routes -------------------------------------------------------------------

@@ -8,24 +8,25 @@ temporary folder is set only when the session has none (tests, laptops).
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-SESSION_CONF = {
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
+#: SQL settings the results rest on; a session may have set them itself.
+SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # an overflowing amount is an error, not a NULL that a filter then drops
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Partitioned writes of the fact: one writer per month directory per task.
-    "spark.sql.sources.partitionOverwriteMode": "static",
 }
+SESSION_CONF = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"} | SQL_CONF
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
@@ -42,6 +43,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def session(app: str = "tripmart") -> SparkSession:
+    """The submitted session: master and settings as submitted, with
+    ``SQL_CONF`` where nothing else was given. Without a submitted master Spark
+    itself falls back to this machine."""
+    builder = SparkSession.builder.appName(app)
+    if not {"PYSPARK_GATEWAY_PORT", "PYSPARK_SUBMIT_ARGS"} & set(os.environ):
+        builder = builder.config("spark.ui.enabled", "false")
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for k, v in SQL_CONF.items():
+        if not given.contains(k):
+            spark.conf.set(k, v)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder. Only a local master may go
     without one: a folder of this machine is no folder of the executors."""
@@ -75,13 +91,9 @@ def cluster_conf(total_cores: int, shuffle_bytes: int | None = None,
         parts = max(parts, -(-shuffle_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        **SQL_CONF,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(128 << 20),
-        "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     }

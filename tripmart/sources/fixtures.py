@@ -17,20 +17,10 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.columns import month_text
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-
-
-_READS: dict[tuple[int, str], DataFrame] = {}
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A supplied table. The supplied tables are read-only, so the lazy
-    DataFrame (its file listing and schema) is reused per session and path."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    """A supplied table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _minutes_seconds(minutes: Column, seconds: Column | None = None) -> Column:

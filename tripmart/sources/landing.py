@@ -140,7 +140,9 @@ def null_tokens(df: DataFrame, tokens: Iterable[str] = NULL_TOKENS) -> DataFrame
 
 def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
     """Zone CSV with header, read as text; NULL tokens applied; ``locationid`` bigint."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    # a small file: line feeds within quotes are worth reading it whole
+    raw = (spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
+           .option("multiLine", True).csv(path))
     df = null_tokens(raw)
     df = lower_case_columns(df)
     return df.withColumn("locationid", F.col("locationid").cast("bigint"))
@@ -149,7 +151,7 @@ def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """CSV sample with header. With a schema, the NULL tokens are applied on
     text first and the columns cast afterwards; without one, types are inferred."""
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("escape", '"')
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     from pyspark.sql.types import StructType

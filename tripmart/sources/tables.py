@@ -13,7 +13,7 @@ Modes follow the reference's materializations:
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -98,23 +98,86 @@ def read_table(spark: SparkSession, path: str, base_path: str | None = None,
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table.
-
-    A local path is checked on the file system; any other URI by reading
-    the table's footers (a missing path raises ``PATH_NOT_FOUND``)."""
-    if "://" not in path or path.startswith("file:"):
-        local = path.removeprefix("file://").removeprefix("file:")
-        if not os.path.isdir(local):
-            return False
-        return any(f.endswith(".parquet") for _, _, files in os.walk(local) for f in files)
+    """True when ``path`` holds a Parquet file, asked of the file system that
+    the path belongs to (the default one if it names none). Any error but the
+    path's absence is raised."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return False
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def replace_table(df: DataFrame, path: str, observe: str = "replace") -> dict:
+    """Full replace by a table written beside the old one and renamed into its
+    place, so a failed write leaves the old table. An empty ``df`` replaces
+    nothing: ``{"rows": 0, "skipped": True}``."""
+    spark = df.sparkSession
+    fs, target = _file_system(spark, path)
+    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
+    stats = write_table(df, new, observe=observe)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    if not stats["rows"]:
+        fs.delete(jpath(new), True)
+        return stats | {"skipped": True}
+    old = jpath(f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:12]}")
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(jpath(new), target):
+        raise OSError(f"cannot put the new table in place of {path}")
+    if had:
+        fs.delete(old, True)
+    return stats
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, written beside the old one and renamed into its place."""
+    fs, target = _file_system(spark, path)
+    new = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.new-{uuid.uuid4().hex[:12]}")
+    out = fs.create(new, True)
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - reads footers only
-        return True
-    except Exception as exc:  # PATH_NOT_FOUND / UNABLE_TO_INFER_SCHEMA
-        text = str(exc)
-        if "PATH_NOT_FOUND" in text or "UNABLE_TO_INFER_SCHEMA" in text or "does not exist" in text:
-            return False
-        raise
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(new, target):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The whole of a small text file; None if there is none."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return None
+    return spark.read.option("wholetext", True).text(path).first()[0]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table's folder, if it is there."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def rename_partitions(spark: SparkSession, paths: Iterable[str], column: str, target: str) -> None:
+    """Move each partition folder ``column=value`` of tables to ``target/value``."""
+    for path in paths:
+        fs, p = _file_system(spark, path)
+        out = spark._jvm.org.apache.hadoop.fs.Path(target)
+        fs.mkdirs(out)
+        for status in fs.listStatus(p):
+            name = status.getPath().getName()
+            if name.startswith(f"{column}="):
+                fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(out, name.split("=", 1)[1]))
 
 
 def preview(df: DataFrame, n: int = 1000) -> DataFrame:
@@ -122,24 +185,19 @@ def preview(df: DataFrame, n: int = 1000) -> DataFrame:
     return df.limit(n)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV export with a header. ``single_file`` is for small exports only."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV export with a header; quotes within a field are doubled."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict,
-              partition_column: str | None = None, lower: int | None = None,
-              upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Read a database table; give a numeric ``partition_column`` and bounds
-    to read it in parallel slices instead of one connection."""
+              partition_column: str, lower: int, upper: int, num_partitions: int) -> DataFrame:
+    """Read a database table in parallel slices of a numeric column."""
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in properties.items():
         r = r.option(k, v)
-    if partition_column:
-        r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
-             .option("upperBound", upper).option("numPartitions", num_partitions))
-    return r.load()
+    return (r.option("partitionColumn", partition_column).option("lowerBound", lower)
+            .option("upperBound", upper).option("numPartitions", num_partitions).load())
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict,

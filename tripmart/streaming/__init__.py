@@ -1,3 +1,3 @@
 """Structured Streaming: incremental ingest of newly landed month files."""
 
-from tripmart.streaming.ingest import bronze_stream, landing_schema, start_ingest  # noqa: F401
+from tripmart.streaming.ingest import landing_schema, start_ingest  # noqa: F401

@@ -1,26 +1,24 @@
 """Incremental bronze ingest with Structured Streaming.
 
-The reference runs its month load on a schedule. Here the same bronze
-transform (``operators.bronze.to_bronze_trips``) runs on a file-source stream
-over a landing folder laid out as ``<landing>/source_month=YYYY-MM/*.parquet``;
-each trigger picks up only files not seen before. ``trigger(availableNow=True)``
-processes everything landed so far in bounded micro-batches and stops, which is
-what a scheduled job wants.
-
-Exactly-once: the source's processed-file log and the Parquet sink's commit
-log live under the checkpoint; a restarted or failed run (lost executors
-included) resumes from the last committed batch without duplicating rows.
-A month that must be *replaced* (a corrected file) goes through the batch
-loader, whose dynamic partition overwrite replaces that month.
+The reference runs its month load on a schedule. Here a file-source stream
+watches a landing folder laid out as ``<landing>/source_month=YYYY-MM/*.parquet``.
+Each micro-batch only says which months have new files; those months are read
+whole from the landing folder and loaded by the batch loader
+(``operators.bronze.load_months``), which replaces exactly them. So a stream
+and a batch load of a corrected month can take turns on one bronze table, and
+a batch that runs again after a failure leaves one copy of its months.
+``trigger(availableNow=True)`` processes everything landed so far and stops,
+which is what a scheduled job wants.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tripmart.operators.bronze import BRONZE_PARTITIONS, to_bronze_trips
+from tripmart.operators.bronze import load_months, to_bronze_trips
 
 
 def landing_schema(service: str) -> StructType:
@@ -33,25 +31,26 @@ def landing_schema(service: str) -> StructType:
         "tip_amount double, tolls_amount double, total_amount double, source_month string")
 
 
-def bronze_stream(spark: SparkSession, landing_dir: str, service: str,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming bronze rows of one service (same columns as the batch load)."""
-    reader = spark.readStream.schema(landing_schema(service))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return to_bronze_trips(reader.parquet(landing_dir), service)
-
-
 def start_ingest(spark: SparkSession, landing_dir: str, service: str, bronze_path: str,
                  checkpoint: str, max_files_per_trigger: int | None = None,
                  available_now: bool = True) -> StreamingQuery:
-    """Append newly landed month files to the bronze table at ``bronze_path``,
-    partitioned like the batch-loaded table."""
-    w = (bronze_stream(spark, landing_dir, service, max_files_per_trigger)
-         .writeStream.format("parquet")
-         .option("path", bronze_path)
-         .option("checkpointLocation", checkpoint)
-         .partitionBy(*BRONZE_PARTITIONS)
-         .outputMode("append"))
+    """Load the months with newly landed files into the bronze table at
+    ``bronze_path``, each as a whole."""
+    schema = landing_schema(service)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def load(batch: DataFrame, _: int) -> None:
+        # at most one row per month
+        months = [r[0] for r in batch.select("source_month").distinct().collect()]
+        if months:
+            own = batch.sparkSession
+            landed = own.read.schema(schema).parquet(landing_dir).where(F.col("source_month").isin(months))
+            load_months(own, to_bronze_trips(landed, service), bronze_path)
+
+    # the folder's name alone tells the months: no column of the files is read
+    w = (reader.parquet(landing_dir).select("source_month").writeStream.foreachBatch(load)
+         .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

@@ -44,15 +44,19 @@ def refresh(spark: SparkSession, landing_dir: str, zones_landing: DataFrame, roo
     """Load the planned months from ``landing_dir`` and rebuild the star.
 
     ``zones_landing`` is the zone lookup as read (``landing.read_zone_lookup``
-    for the CSV); it fully replaces the bronze lookup. Months already in
-    bronze and absent from the landing folder stay as they are."""
+    for the CSV); it fully replaces the bronze lookup, unless it is empty: then
+    the old lookup stays. Months already in bronze and absent from the landing
+    folder stay as they are. The new star is switched to when all of it is
+    written."""
     plan = L.load_plan(spark, settings.plan_start, settings.plan_end, settings.services)
-    loads = {"zones": T.write_table(B.to_bronze_zones(zones_landing),
-                                    f"{root}/bronze/taxi_zone_lookup", observe="zones")}
+    lookup = f"{root}/bronze/taxi_zone_lookup"
+    loads = {"zones": T.replace_table(B.to_bronze_zones(zones_landing), lookup, observe="zones")}
+    if loads["zones"].get("skipped") and not T.table_exists(spark, lookup):
+        raise ValueError("the zone lookup is empty and there is no earlier one")
     loads.update(B.load_from_landing(spark, landing_dir, plan, f"{root}/bronze",
                                      settings.services))
     yellow, green, zones = bronze_tables(spark, root)
-    zone_rows = loads["zones"]["rows"]  # counted during the lookup write
+    zone_rows = loads["zones"]["rows"] or zones.count()  # counted during the lookup write
     silver = S.silver_trips(yellow, green, zones, settings.broadcast_max_rows, zone_rows)
     star = G.write_star(spark, G.build_star(spark, silver, zones, settings, zone_rows),
                         f"{root}/gold", rebalance=rebalance_fact)
