@@ -97,18 +97,23 @@ _GAPS = np.zeros(256, bool)
 _GAPS[[32, 9, 10, 11, 12, 13]] = True
 
 
-def word_blocks(raw: np.ndarray, start: int, end: int, size: int = 1 << 20):
-    """The words of a text as lists of bytes, about ``size`` bytes at a time;
-    a block ends at the end of a word."""
+def text_blocks(raw: np.ndarray, start: int, end: int, size: int = 1 << 20):
+    """A text as bytes, about ``size`` at a time; a block ends at the end of a word."""
     while start < end:
         stop = min(end, start + size)
         while stop < end and not _GAPS[raw[stop]]:
             gap = np.flatnonzero(_GAPS[raw[stop:min(end, stop + 4096)]])
             stop = stop + int(gap[0]) if len(gap) else min(end, stop + 4096)
-        words = raw[start:stop].tobytes().split()
+        yield raw[start:stop].tobytes()
+        start = stop
+
+
+def word_blocks(raw: np.ndarray, start: int, end: int, size: int = 1 << 20):
+    """The words of a text as lists of bytes, a block of the text at a time."""
+    for block in text_blocks(raw, start, end, size):
+        words = block.split()
         if words:
             yield words
-        start = stop
 
 
 def mix(h: np.ndarray) -> np.ndarray:
