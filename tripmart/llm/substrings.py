@@ -158,38 +158,50 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = Hasher(1)
     for batch in batches:
         raw, off = bytes_of(as_array(batch.column(2)))
+        rows, found = [], []
         for i in range(batch.num_rows):
-            parts = batch.column(3)[i].values
-            start, windows, lead, bucket = (parts.field(k).to_numpy().astype(np.int64) for k in range(4))
-            sample, last = start + lead, lead - windows + 1  # distances go from lead down to last
-            n = lead // CELL - last // CELL + 1
-            own = np.repeat(np.arange(len(start)), n)
-            cell = np.arange(len(own)) - np.repeat(np.cumsum(n) - n - last // CELL, n)
-            far = np.minimum(lead[own], cell * CELL + CELL - 1)
-            near = np.maximum(last[own], cell * CELL)
-            first, core = sample[own] - far, sample[own] - cell * CELL
-            out = {k: np.zeros(len(own), np.int64) for k in ("core", "content", "before", "after")}
-            size = int(off[i + 1] - off[i])
-            for at in range(0, int(first.max()) + 1, BLOCK):
-                mine = np.flatnonzero((first >= at) & (first < at + BLOCK))
-                if not len(mine):
-                    continue
-                low, high = max(0, at - CELL), min(size, at + BLOCK + LENGTH + CELL)
-                block = raw[off[i] + low:off[i] + high]
-                sums = hasher.sums(block)
-                c = core[mine] - low
-                out["core"][mine] = mix(hasher.of(sums, c, c + CORE)).view(np.int64)
-                out["content"][mine] = mix(hasher.of(sums, first[mine] - low, sample[own[mine]] - near[mine] - low + LENGTH)).view(np.int64)
-                padded = np.concatenate([np.zeros(CELL, np.uint8), block, np.zeros(CELL, np.uint8)])
-                for name, where in (("before", c + CELL - (CELL - 1)), ("after", c + CELL + CORE)):
-                    eight = padded[where[:, None] + np.arange(8)]
-                    out[name][mine] = eight.view(">u8").ravel().astype(np.uint64).view(np.int64)
-            count = len(own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.repeat(batch.column(0)[i], count), pa.repeat(batch.column(1)[i], count), pa.array(first, pa.int32()),
-                 pa.array(far - near + 1, pa.int8()), pa.array(near - cell * CELL, pa.int8()), pa.array(bucket[own]),
-                 pa.array(cell, pa.int8()), *[pa.array(out[k]) for k in ("core", "content", "before", "after")]],
-                ["doc_id", "tie", "start", "windows", "near", "bucket", "cell", "core", "content", "before", "after"])
+            found.append(_cells_of(raw[off[i]:off[i + 1]], batch.column(3)[i].values, hasher))
+            rows.append(np.full(len(found[-1]["start"]), i))
+            if sum(map(len, rows)) > 100_000 or i == batch.num_rows - 1:
+                take = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(take), batch.column(1).take(take),
+                     *[pa.array(np.concatenate([f[k] for f in found]), kind) for k, kind in _CELL_TYPES.items()]],
+                    ["doc_id", "tie", *_CELL_TYPES])
+                rows, found = [], []
+
+
+_CELL_TYPES = {"start": pa.int32(), "windows": pa.int8(), "near": pa.int8(), "bucket": pa.int64(), "cell": pa.int8(),
+               **dict.fromkeys(("core", "content", "before", "after"), pa.int64())}
+
+
+def _cells_of(text: np.ndarray, parts: pa.StructArray, hasher: Hasher) -> dict[str, np.ndarray]:
+    start, windows, lead, bucket = (parts.field(k).to_numpy().astype(np.int64) for k in range(4))
+    sample, last = start + lead, lead - windows + 1  # distances go from lead down to last
+    n = lead // CELL - last // CELL + 1
+    own = np.repeat(np.arange(len(start)), n)
+    cell = np.arange(len(own)) - np.repeat(np.cumsum(n) - n - last // CELL, n)
+    far = np.minimum(lead[own], cell * CELL + CELL - 1)
+    near = np.maximum(last[own], cell * CELL)
+    first, core = sample[own] - far, sample[own] - cell * CELL
+    out = {"start": first, "windows": far - near + 1, "near": near - cell * CELL, "bucket": bucket[own], "cell": cell}
+    out |= {k: np.zeros(len(own), np.int64) for k in ("core", "content", "before", "after")}
+    for at in range(0, int(first.max()) + 1, BLOCK):
+        mine = np.flatnonzero((first >= at) & (first < at + BLOCK))
+        if not len(mine):
+            continue
+        low = max(0, at - CELL)
+        block = text[low:at + BLOCK + LENGTH + CELL]
+        sums = hasher.sums(block)
+        c = core[mine] - low
+        out["core"][mine] = mix(hasher.of(sums, c, c + CORE)).view(np.int64)
+        out["content"][mine] = mix(hasher.of(
+            sums, first[mine] - low, sample[own[mine]] - near[mine] - low + LENGTH)).view(np.int64)
+        padded = np.concatenate([np.zeros(CELL, np.uint8), block, np.zeros(CELL, np.uint8)])
+        for name, where in (("before", c + CELL - (CELL - 1)), ("after", c + CELL + CORE)):
+            eight = padded[where[:, None] + np.arange(8)]
+            out[name][mine] = eight.view(">u8").ravel().astype(np.uint64).view(np.int64)
+    return out
 
 
 def repeated(docs: DataFrame) -> DataFrame:
