@@ -11,9 +11,9 @@ logistic function of a text's clause scores is its toxicity.
 Learning reads a bounded sample: about ``rows_per_class`` labelled rows of each
 label, chosen by a hash of the id, whole texts, near copies of each other left
 out (three minimum hashes of their five-word runs) so that a much copied text
-counts once. One half gives the insults: words, and stems of 4 to 6 letters,
+counts once. Three quarters give the insults: words, and stems of 4 to 6 letters,
 whose log-odds for label 1, less 1.5 standard errors, are 1 or more (at most
-``most_terms``). The other half fits the logistic function.
+``most_terms``). The others fit the logistic function.
 
 Scoring is a map over all documents with no shuffle. Inputs are texts alone.
 
@@ -194,7 +194,7 @@ def _sample(docs: DataFrame, labels: DataFrame, modulus: int, rows_per_class: in
     for k, n in sizes.items():
         share = F.when(F.col("toxic") == k, min(1.0, rows_per_class / n)).otherwise(share)
     u = unit_hash(F.lit("toxicity"), "doc_id")
-    chosen = marked.where(u < share).withColumn("first", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0)
+    chosen = marked.where(u < share).withColumn("first", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(4)) != 0)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
