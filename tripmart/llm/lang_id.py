@@ -203,33 +203,26 @@ def predict(docs: DataFrame, model: Model | None, ambiguous_below: float = 0.2)
     if model is None:
         return docs.select("*", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"),
                            F.lit(False).alias("ambiguous"))
-    carried = docs.withColumn("__letters", letters)
-    where = carried.columns.index("text")
-    schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"),
-                         F.lit(False).alias("ambiguous")).schema
-    for f in schema.fields[-3:]:
-        f.nullable = True
-
-    def run(batches):
-        m = model
-        for batch in batches:
-            raw, off = bytes_of(as_array(batch.column(where)))
-            has = batch.column(batch.num_columns - 1).to_pylist()
-            lang, score, flag = [], [], []
-            for i, letters_here in enumerate(has):
-                if letters_here:
-                    k, s, lead = m.decode(m.votes(raw, off[i], off[i + 1]))
-                    lang.append(m.languages[k])
-                else:
-                    s, lead = 0.0, 1.0
-                    lang.append(UNDETERMINED)
-                score.append(s)
-                flag.append(lead < ambiguous_below)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()),
-                 pa.array(flag, pa.bool_())], names=schema.names)
-
-    return carried.mapInArrow(run, schema)
+
+    # only the texts go to Python; the other columns stay where they are
+    @F.arrow_udf("struct<lang_pred string, score double, ambiguous boolean>")
+    def language(texts: pa.Array, lettered: pa.Array) -> pa.Array:
+        raw, off = bytes_of(as_array(texts))
+        lang, score, flag = [], [], []
+        for i, has in enumerate(lettered.to_pylist()):
+            if has:
+                k, s, lead = model.decode(model.votes(raw, off[i], off[i + 1]))
+                lang.append(model.languages[k])
+            else:
+                s, lead = 0.0, 1.0
+                lang.append(UNDETERMINED)
+            score.append(s)
+            flag.append(lead < ambiguous_below)
+        return pa.StructArray.from_arrays(
+            [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(flag, pa.bool_())], names=list(new))
+
+    found = docs.withColumn("__language", language(F.col("text"), letters))
+    return found.select(*docs.columns, *[F.col("__language")[c].alias(c) for c in new])
 
 
 def identify(docs: DataFrame, modulus: int = 5) -> DataFrame:
