@@ -24,8 +24,8 @@ from __future__ import annotations
 
 import json
 import os
+import struct
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,7 +39,7 @@ from tripmart.llm.common import as_array, bytes_of, per_worker, word_blocks, wri
 SEQUENCE = 2048
 END_ID = 1
 RANK_BLOCK = 50_000
-MOST_WORDS = 400_000
+MOST_WORDS = 250_000
 BATCH_BYTES = 1 << 21
 
 
@@ -50,7 +50,8 @@ def default_tokenizer() -> str:
 
 
 class WordTokenizer:
-    """Ids of words, little-endian 32-bit, remembering up to MOST_WORDS words.
+    """Ids of words, little-endian 32-bit, remembering the last MOST_WORDS words
+    or more, up to twice as many.
 
     New words are tokenized many at a time, divided by a word of their own. If
     the tokenizer lower-cases, splits at the pattern SPLIT and merges the bytes
@@ -67,9 +68,11 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.divider = self._encode(self.DIVIDER)
         self.plain, self.split = regex.compile(self.PLAIN), regex.compile(self.SPLIT)
         self.parts: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
         steps = json.loads(self.tokenizer.to_str())
         kinds = [x.get("pattern") or x["type"] for k in ("normalizer", "pre_tokenizer")
                  for x in (steps[k] or {}).get("normalizers", (steps[k] or {}).get("pretokenizers", []))]
@@ -86,21 +89,31 @@ class WordTokenizer:
     def _part(self, part: str) -> bytes:
         got = self.parts.get(part)
         if got is None:
-            tokens = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.alphabet))
             if len(self.parts) > MOST_WORDS:
-                self.parts.clear()
-            got = self.parts[part] = np.array([t.id for t in tokens], "<u4").tobytes()
+                self.older_parts, self.parts = self.parts, {}
+            got = self.older_parts.get(part)
+            if got is None:
+                tokens = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.alphabet))
+                got = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            self.parts[part] = got
         return got
 
-    def learn(self, words: set[bytes]) -> None:
-        """Make sure that all of the words are known."""
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > MOST_WORDS:
-            self.known, new = {}, words
+    def _learn(self, words: set[bytes]) -> None:
+        """Put words that are not known into known."""
+        if len(self.known) + len(words) > MOST_WORDS:
+            self.older, self.known = self.known, {}
         plain = []
-        for w in new:
+        for w in words:
+            ids = self.older.get(w)
+            if ids is not None:
+                self.known[w] = ids
+                continue
             t = w.decode("utf-8", "replace")
-            if self.direct and "<|" not in t and self.plain.fullmatch(t):
+            if self.direct and t.isascii() and t[:-1].isalpha() and t[-1] in ".,;:!?":
+                self.known[w] = self._part(t[:-1].lower()) + self._part(t[-1])
+            elif self.direct and t.isascii() and t.isalpha():
+                self.known[w] = self._part(t.lower())
+            elif self.direct and "<|" not in t and self.plain.fullmatch(t):
                 self.known[w] = b"".join(map(self._part, self.split.findall(t.lower())))
             elif self.DIVIDER in t:
                 self.known[w] = self._encode(t).tobytes()
@@ -121,8 +134,17 @@ class WordTokenizer:
             raw = ids.tobytes()
             self.known.update((w, raw[a:b]) for (w, _), a, b in zip(part, starts.tolist(), ends.tolist(), strict=True))
 
-    def ids(self, words: list[bytes]) -> bytes:
-        return b"".join(map(self.known.__getitem__, words))
+    def ids(self, texts: list[list[bytes]]) -> list[bytes]:
+        """The ids of each text, given as its words."""
+        found = [list(map(self.known.get, words)) for words in texts]
+        new = {w for words, ids in zip(texts, found, strict=True) if None in ids
+               for w, x in zip(words, ids, strict=True) if x is None}
+        if new:
+            self._learn(new)
+            for words, ids in zip(texts, found, strict=True):
+                if None in ids:
+                    ids[:] = [self.known[w] if x is None else x for w, x in zip(words, ids, strict=True)]
+        return list(map(b"".join, found))
 
 
 def tokenize(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -158,13 +180,9 @@ def tokenize(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
                     stop += 1
                 if off[stop] - off[at] <= BATCH_BYTES:
                     split = [raw[off[i]:off[i + 1]].tobytes().split() for i in range(at, stop)]
-                    words_to_ids.learn(set(chain.from_iterable(split)))
-                    texts = [words_to_ids.ids(words) + end for words in split]
+                    texts = [ids + end for ids in words_to_ids.ids(split)]
                 else:  # one long text
-                    parts = []
-                    for words in word_blocks(raw, off[at], off[stop]):
-                        words_to_ids.learn(set(words))
-                        parts.append(words_to_ids.ids(words))
+                    parts = [words_to_ids.ids([words])[0] for words in word_blocks(raw, off[at], off[stop])]
                     texts = [b"".join([*parts, end])]
                 yield pieces(batch.column(0).slice(at, stop - at), texts)
                 at = stop
