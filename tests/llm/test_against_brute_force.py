@@ -385,3 +385,23 @@ def test_urls_nested(spark):
                 if (r["host"] == h or r["host"].endswith("." + h)) and r["path"].startswith("/" + p if "/" in k else "")]
         best = max(fits, key=lambda k: (len(k), k), default=None)
         assert (r["rule"], r["verdict"]) == (best, rules.get(best, "allow"))
+
+
+def test_lm_words_out_of_the_head(docs, monkeypatch):
+    """Without a head all words are joined: the scores are those with a head."""
+    whole = {r["doc_id"]: r["score"] for r in lm_score.score_documents(docs).collect()}
+    monkeypatch.setattr(lm_score, "HEAD", 0)
+    joined = {r["doc_id"]: r["score"] for r in lm_score.score_documents(docs).collect()}
+    assert whole.keys() == joined.keys()
+    assert all(math.isclose(whole[k], joined[k], rel_tol=1e-5) for k in whole)
+
+
+def test_lm_slots_follow_the_corpus(docs, monkeypatch):
+    assert lm_score.slot_bits(0) == lm_score.SLOT_BITS
+    sizes = [sum(1 << b for b in lm_score.slot_bits(lm_score.SLOT_TEXT << k)) for k in range(12)]
+    assert all(1.5 * a < b for a, b in zip(sizes, sizes[1:]))
+    monkeypatch.setattr(lm_score, "SLOT_BITS", (6, 6, 6))
+    few = {r["doc_id"]: r["bits_per_byte"] for r in lm_score.score_documents(docs).collect()}
+    monkeypatch.setattr(lm_score, "SLOT_TEXT", 1 << 14)
+    more = [r for r in lm_score.score_documents(docs).collect() if r["held_out"] and r["n_tokens"] > 50]
+    assert np.mean([r["bits_per_byte"] for r in more]) < np.mean([few[r["doc_id"]] for r in more])
