@@ -405,3 +405,20 @@ def test_lm_slots_follow_the_corpus(docs, monkeypatch):
     monkeypatch.setattr(lm_score, "SLOT_TEXT", 1 << 14)
     more = [r for r in lm_score.score_documents(docs).collect() if r["held_out"] and r["n_tokens"] > 50]
     assert np.mean([r["bits_per_byte"] for r in more]) < np.mean([few[r["doc_id"]] for r in more])
+
+
+def test_lm_mixer_rows_follow_the_corpus(docs, monkeypatch):
+    """A share of the rows, and these are not in the counts that they are mixed by."""
+    seen = []
+
+    def learn(sample, tables, words, whole, learn=lm_score._learn_mixer):
+        seen.append((sample.count(), words.agg(F.sum("n")).first()[0],
+                     sum(len(r["text"].encode().split()) + 1 for r in sample.collect())))
+        learn(sample, tables, words, whole)
+
+    monkeypatch.setattr(lm_score, "_learn_mixer", learn)
+    for copies in (1, 4):
+        more = docs.crossJoin(docs.sparkSession.range(copies)).selectExpr("doc_id * 10 + id AS doc_id", "text")
+        n_train = lm_score.score_documents(more, mix_rows=1, mix_share=0.2).first()["train_tokens"]
+        assert seen[-1][1] + seen[-1][2] == n_train
+    assert seen[1][0] > 2.5 * seen[0][0] > 0
