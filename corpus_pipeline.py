@@ -34,7 +34,8 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents left, with their places in the sequences."""
+    """The pieces of the documents left, with their ids and their places in the
+    sequences: what ``packing.sequences`` joins and pads."""
     return packing.pack_documents(docs)
 
 

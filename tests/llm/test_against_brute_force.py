@@ -422,3 +422,16 @@ def test_lm_mixer_rows_follow_the_corpus(docs, monkeypatch):
         n_train = lm_score.score_documents(more, mix_rows=1, mix_share=0.2).first()["train_tokens"]
         assert seen[-1][1] + seen[-1][2] == n_train
     assert seen[1][0] > 2.5 * seen[0][0] > 0
+
+
+def test_packed_documents_make_padded_sequences(spark, docs, texts):
+    """What the pipeline's last stage returns has the ids of every document, and
+    whole sequences come from it."""
+    import corpus_pipeline
+
+    expected = Counter(r["ids"] for r in packing.tokenize(docs).collect())
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).cache()
+    assert Counter(r["ids"] for r in packed.collect()) == expected
+    for r in packing.sequences(packed).collect():
+        assert len(r["padded_ids"]) == 4 * (r["n_ids"] + r["n_padding"])
+        assert r["padded_ids"] == r["ids"] + packing.PAD_ID.to_bytes(4, "little") * r["n_padding"]

@@ -38,6 +38,7 @@ from tripmart.llm.common import as_array, bytes_of, per_worker, word_blocks, wri
 
 SEQUENCE = 2048
 END_ID = 1
+PAD_ID = END_ID
 RANK_BLOCK = 50_000
 MOST_WORDS = 250_000
 BATCH_BYTES = 1 << 21
@@ -257,18 +258,20 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
-    offset. The ids themselves stay with ``tokenize``; only their checksum is
-    carried through the shuffles."""
-    pieces = tokenize(docs, tokenizer).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    """Per piece: doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id,
+    offset."""
+    pieces = tokenize(docs, tokenizer).select("doc_id", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"),
+                                              "doc_tokens")
     return pack(written(pieces, "pieces"))
 
 
 def sequences(packed: DataFrame, size: int = SEQUENCE) -> DataFrame:
-    """sequence_id, ids (joined in order of offset), n_ids and n_padding, of
-    pieces packed with their ids: padded to size, except at a power of two."""
+    """sequence_id, ids (joined in order of offset), n_ids, n_padding and
+    padded_ids (ids and n_padding times PAD_ID), of pieces packed with their ids:
+    padded to size, except at a power of two."""
     whole = packed.groupBy("sequence_id").agg(
         F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts"), F.sum("length").alias("n_ids"))
     even = (F.col("n_ids").bitwiseAND(F.col("n_ids") - 1)) == 0
     return whole.select("sequence_id", F.expr("aggregate(parts.ids, X'', (a, x) -> concat(a, x))").alias("ids"), "n_ids",
-                        F.when(even, F.lit(0)).otherwise(size - F.col("n_ids")).alias("n_padding"))
+                        F.when(even, F.lit(0)).otherwise(size - F.col("n_ids")).alias("n_padding")) \
+        .withColumn("padded_ids", F.expr(f"concat(ids, unhex(repeat('{PAD_ID.to_bytes(4, 'little').hex()}', int(n_padding))))"))
