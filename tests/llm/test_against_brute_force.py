@@ -435,3 +435,43 @@ def test_packed_documents_make_padded_sequences(spark, docs, texts):
     for r in packing.sequences(packed).collect():
         assert len(r["padded_ids"]) == 4 * (r["n_ids"] + r["n_padding"])
         assert r["padded_ids"] == r["ids"] + packing.PAD_ID.to_bytes(4, "little") * r["n_padding"]
+
+
+def test_line_links(spark, docs, texts, variants):
+    """Every link of different sets, at both ends; and classes of documents."""
+    w = [f"v{i}" for i in range(30)]
+    chain = [(k, " ".join(w[k:k + 20])) for k in range(0, 6, 2)]     # 0 ~ 2 ~ 4, but not 0 ~ 4
+    three = [(10 + k, " ".join([*[f"u{i}" for i in range(12)], f"x{k}"])) for k in range(4)]
+    small = spark.createDataFrame([*chain, *three, (20, three[0][1]), (21, "alone here"), (22, None)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_links"], r["class_id"]) for r in line_dedup.count_lines(small).collect()}
+    assert got == {0: (1, 0), 2: (2, 0), 4: (1, 0), **{k: (3, 10) for k in range(10, 14)}, 20: (1, 10), 21: (0, 21), 22: (0, 22)}
+    for df, own in ((docs, texts), (variants, _texts(variants))):
+        first, lines = {}, defaultdict(list)
+        for k in sorted(own):
+            for line in own[k].split("\n"):
+                if s := frozenset(line.encode().split()):
+                    lines[k].append((s, first.setdefault(s, k) == k and all(s != x for x, _ in lines[k])))
+        sets, where = list(first), defaultdict(list)
+        for j, s in enumerate(sets):
+            for x in s:
+                where[x].append(j)
+        degree, parent = Counter(), {k: k for k in own}
+
+        def root(k):
+            while parent[k] != k:
+                k = parent[k]
+            return k
+
+        for j, s in enumerate(sets):
+            for i, n in Counter(i for x in s for i in where[x] if i < j).items():
+                if 5 * n >= 4 * (len(s) + len(sets[i]) - n):
+                    degree[s] += 1
+                    degree[sets[i]] += 1
+                    a, b = sorted((root(first[s]), root(first[sets[i]])))
+                    parent[b] = a
+        for k in own:
+            for s, _ in lines[k]:
+                a, b = sorted((root(k), root(first[s])))
+                parent[b] = a
+        got = {r["doc_id"]: (r["n_links"], r["class_id"]) for r in line_dedup.count_lines(df).collect()}
+        assert got == {k: (sum(degree[s] if new else 1 for s, new in lines[k]), root(k)) for k in own}
