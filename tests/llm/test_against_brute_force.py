@@ -388,9 +388,11 @@ def test_urls_nested(spark):
 
 
 def test_lm_words_out_of_the_head(docs, monkeypatch):
-    """Without a head all words are joined: the scores are those with a head."""
+    """Without a head all words are joined: the scores are those with a head; the
+    log-odds are broadcast first and then a file."""
     whole = {r["doc_id"]: r["score"] for r in lm_score.score_documents(docs).collect()}
     monkeypatch.setattr(lm_score, "HEAD", 0)
+    monkeypatch.setattr(lm_score, "MAPPED", 0)
     joined = {r["doc_id"]: r["score"] for r in lm_score.score_documents(docs).collect()}
     assert whole.keys() == joined.keys()
     assert all(math.isclose(whole[k], joined[k], rel_tol=1e-5) for k in whole)
