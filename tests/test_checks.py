@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from tripmart.operators import checks as K
 
-from conftest import bronze, trip, zones
+from rows import bronze, trip, zones
 
 
 def test_not_null_fails_and_unique_passes_on_sample_model(spark):

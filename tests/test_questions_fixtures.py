@@ -9,7 +9,7 @@ from tripmart.operators import gold as G
 from tripmart.operators import silver as S
 from tripmart.plans import questions as Q
 
-from conftest import bronze, trip, zones
+from rows import bronze, trip, zones
 
 
 def star_of(spark, rows, zone_rows, green_rows=()):
