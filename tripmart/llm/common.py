@@ -9,7 +9,7 @@ import types
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmart.session import new_table_path
@@ -139,3 +139,28 @@ class WordHashes(dict):
 
     def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def placed(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """The rows in ranges of (group, order), written, with the number of their
+    range as ``part``: a group of any size spreads over many ranges."""
+    return written(df.repartitionByRange(*group, *order).withColumn("part", F.spark_partition_id()), name)
+
+
+def group_parts(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Of placed rows, per group and part: how many rows of the group come before
+    the part (``before``) and how many it has in all (``group_n``). A group has at
+    most a row for each range."""
+    parts = rows.groupBy(*group, "part").agg(F.count(F.lit(1)).alias("n"))
+    of_group = Window.partitionBy(*group)
+    running = of_group.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return parts.select(*group, "part", (F.sum("n").over(running) - F.col("n")).alias("before"),
+                        F.sum("n").over(of_group).alias("group_n"))
+
+
+def numbered(rows: DataFrame, parts: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Placed rows with ``pos``, their place in their group from 0, and the other
+    columns of parts. Groups are never null."""
+    inner = F.row_number().over(Window.partitionBy(*group, "part").orderBy(*order))
+    return rows.withColumn("inner_pos", inner).join(parts, [*group, "part"]) \
+        .withColumn("pos", F.col("before") + F.col("inner_pos") - 1).drop("inner_pos", "before", "part")

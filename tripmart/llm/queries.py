@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import decontam, lang_id, line_dedup, lm_score, near_dup, packing, quality, substrings, toxicity, url_filter
+from tripmart.llm import (conv_trie, decontam, lang_id, line_dedup, lm_score, merkle, near_dup, neighbours, packing, quality,
+                          substrings, toxicity, url_filter)
 from tripmart.llm.common import table
 
 
@@ -54,6 +55,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20: query_id, rank,
+    vec_id, score."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of the rebuilt conversations."""
+    return conv_trie.trie(table(spark, sf_dir, "conversations"), rebuilt=True).drop("last_words")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document proved against the manifest, a fifth of them after tampering."""
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_near_dup": op1_near_dup,
     "op2_quality_rules": op2_quality_rules,
@@ -65,6 +82,9 @@ REGISTRY = {
     "op8_lm_score": op8_lm_score,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: Queries that SQL can express.
