@@ -132,9 +132,10 @@ def manifest(docs: DataFrame, *more: Column) -> Manifest:
                       .withColumnRenamed("pos", "idx").withColumnRenamed("group_n", "n"), "sources")
     scratch += [subroots, sources]
     top = _levels(sources.select("tree", "n", "idx", "digest"), scratch)
-    root = _union(top).filter(F.col("size") == 1).select(F.col("digest").alias("root"))  # one row
+    root = _union(top).filter(F.col("size") == 1).first()  # at most one row
     nodes = _union(own + top).select("tree", "n", "level", "idx", "digest")
-    sources = sources.join(F.broadcast(root), F.lit(True)).select(F.col("of").alias("tree"), "n", "idx", "digest", "root")
+    sources = sources.select(F.col("of").alias("tree"), "n", "idx", "digest",
+                             F.lit(root["digest"] if root else None).cast("string").alias("root"))
     return Manifest(leaves.drop("source"), nodes, sources, scratch)
 
 
@@ -326,4 +327,6 @@ def audit(docs: DataFrame) -> DataFrame:
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     presented = F.when(chosen, tampered_leaf()).otherwise(leaf_digest()).alias("presented")
     m = manifest(docs, presented)
-    return verify(m, m.leaves)
+    out = written(verify(m, m.leaves), "proofs")
+    m.discard()
+    return out
