@@ -9,7 +9,6 @@ calendar prunes month directories.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +23,7 @@ from tripmart.functions.columns import (
     trip_key,
 )
 from tripmart.operators.joins import bounded
-from tripmart.sources import tables as T
+from tripmart.sources import versioned as V
 
 FACT_COLUMNS = (
     "trip_key", "pickup_date_key", "pickup_date", "pu_zone_key", "do_zone_key",
@@ -165,8 +164,25 @@ def build_star(spark: SparkSession, silver: DataFrame, zones_bronze: DataFrame,
                 settings, zone_rows)
 
 
+DIMENSIONS = ("dim_date", "dim_zone", "dim_service_type", "dim_payment_type", "dim_vendor")
+
+
+def write_dimensions(star: Star, path: str) -> dict[str, dict]:
+    """The dimensions as new, uncommitted parts (full replaces)."""
+    return (V.write(star.dim_date, path, "dim_date") | V.write(star.dim_zone, path, "dim_zone")
+            | V.write(star.dim_service_type, path, "dim_service_type", accepted={"service_type": SERVICE_KEYS.keys()})
+            | V.write(star.dim_payment_type, path, "dim_payment_type", accepted={"payment_type": PAYMENT_TYPES.values()})
+            | V.write(star.dim_vendor, path, "dim_vendor"))
+
+
+def write_fact(fct: DataFrame, path: str, rebalance: bool = False) -> dict[str, dict]:
+    """The fact as new, uncommitted parts, one for each pickup month."""
+    return V.write(fct, path, "fct_trips", partition_by=("pickup_month",),
+                   rebalance=("pickup_month",) if rebalance else None, observe="fct_trips")
+
+
 def write_star(spark: SparkSession, star: Star, path: str, rebalance: bool = False,
-               keep_old: bool = False) -> Star:
+               keep_old: bool = False, info: dict | None = None) -> Star:
     """Materialize the star under ``path`` and return it read back.
 
     The fact is partitioned by ``pickup_month``. By default the write is
@@ -176,35 +192,33 @@ def write_star(spark: SparkSession, star: Star, path: str, rebalance: bool = Fal
     clustered by month: AQE then splits a hot month over several tasks and
     packs small months together, at the price of one shuffle of the fact.
     Dimensions are full replaces (the reference truncates and appends). All
-    tables go to a new version's folder; ``path/current`` names the version that
-    readers take, and is switched when every table is there."""
-    root, path = path, f"{path}/versions/{uuid.uuid4().hex[:12]}"
-    T.write_table(star.fct, f"{path}/fct_trips", partition_by=("pickup_month",),
-                  rebalance=("pickup_month",) if rebalance else None, observe="fct_trips")
-    T.write_table(star.dim_date, f"{path}/dim_date", observe="dim_date")
-    T.write_table(star.dim_zone, f"{path}/dim_zone", observe="dim_zone")
-    T.write_table(star.dim_service_type, f"{path}/dim_service_type",
-                  accepted={"service_type": SERVICE_KEYS.keys()})
-    T.write_table(star.dim_payment_type, f"{path}/dim_payment_type",
-                  accepted={"payment_type": PAYMENT_TYPES.values()})
-    T.write_table(star.dim_vendor, f"{path}/dim_vendor")
-    old = T.read_text(spark, f"{root}/current")
-    T.write_text(spark, f"{root}/current", path.rsplit("/", 1)[1])
-    if old and not keep_old:
-        T.remove(spark, f"{root}/versions/{old}")
-    return read_star(spark, root, star.settings)
-
-
-def read_star(spark: SparkSession, path: str, settings: Settings) -> Star:
-    """The written star, read with its declared schemas (no inference; the
-    fact's ``pickup_month`` directories read as dates)."""
+    tables are committed as one version (``sources.versioned``): readers of the
+    old one keep its files, which go ``V.KEEP_HOURS`` after they were replaced
+    (``keep_old``: not at all), and of two writers the later one raises
+    ``V.Conflict``."""
+    base = V.latest(spark, path)
+    put: dict[str, dict] = {}
+    try:
+        put |= write_fact(star.fct, path, rebalance)
+        put |= write_dimensions(star, path)
+    except Exception:
+        V.discard(spark, path, put)
+        raise
+    V.commit(spark, path, base, put, info=info, whole=True)
+    if not keep_old:
+        V.vacuum(spark, path)
+    return read_star(spark, path, star.settings)
+
+
+def read_star(spark: SparkSession, path: str, settings: Settings, version: V.Version | None = None) -> Star:
+    """The written star as of a version (the latest if none is given), read with
+    its declared schemas (no inference; the fact's ``pickup_month`` directories read
+    as dates)."""
     from tripmart.schemas import STAR_DDL, star_schema
 
-    current = T.read_text(spark, f"{path}/current")
-    if current is None:
+    version = version or V.latest(spark, path)
+    if not version.number:
         raise FileNotFoundError(f"no star at {path}")
-    path = f"{path}/versions/{current}"
-    t = {name: spark.read.schema(star_schema(name)).parquet(f"{path}/{name}")
-         for name in STAR_DDL}
+    t = {name: V.read(spark, path, name, version, schema=star_schema(name)) for name in STAR_DDL}
     return Star(t["fct_trips"], t["dim_date"], t["dim_zone"], t["dim_service_type"],
                 t["dim_payment_type"], t["dim_vendor"], settings)
