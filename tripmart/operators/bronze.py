@@ -13,13 +13,14 @@ import json
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripmart.config import INT_REPAIR_COLUMNS, SERVICES
 from tripmart.sources import landing as L
 from tripmart.sources import tables as T
+from tripmart.sources import versioned as V
 
 BRONZE_PARTITIONS = ("service_type", "source_month")
 # What Spark's errors say of a file that is absent or no Parquet file.
@@ -181,6 +182,107 @@ def load_from_landing(spark: SparkSession, landing_dir: str, plan: DataFrame,
     return report
 
 
+TRIPS = "trips"
+
+
+def month_key(service: str, source_month: str) -> str:
+    """The part of a versioned bronze table that holds a month."""
+    return f"{TRIPS}/service_type={service}/source_month={source_month}"
+
+
+def row_checksum(df: DataFrame, without: Iterable[str] = ("ingest_ts",)) -> Column:
+    """An aggregate over rows in any order: two tables with the same rows, repeated
+    ones included, have the same sum."""
+    cols = [F.col(f"`{x}`") for x in sorted(df.columns) if x not in set(without)]
+    return F.sum(F.xxhash64(*cols).cast("decimal(20,0)")).cast("string")
+
+
+def load_changed(spark: SparkSession, files: list[tuple[str, str, str, str]], path: str, service: str) -> dict:
+    """Load those planned months of a service into the versioned bronze table at
+    ``path`` whose files differ from the ones loaded last (``files``: with
+    fingerprints, from ``landing.planned_fingerprints``). All of them are one commit;
+    readers and other months are not disturbed, and a writer that loaded one of these
+    months meanwhile makes this one raise ``V.Conflict``.
+
+    The version keeps a ledger entry for each month: fingerprint, rows, an order-free
+    checksum, and the pickup months that its trips fall into. A month without rows
+    leaves the old one as it is."""
+    base = V.latest(spark, path)
+    mine = [f for f in files if f[0] == service]
+    prints = {month_key(s, m): fingerprint for s, m, _, fingerprint in mine}
+    new = [f[:3] for f in mine if base.parts.get(month_key(f[0], f[1]), {}).get("fingerprint") != f[3]]
+    dropped: list[str] = []
+    failed: list[str] = []
+    report = {"rows": 0, "months": [], "unchanged_months": len(mine) - len(new), "dropped_columns": dropped,
+              "failed_months": failed}
+    df = read_landing_months(spark, new, service, dropped, failed)
+    if df is None:
+        return report | {"skipped": True}
+    known = base.info.get(f"schema:{TRIPS}")
+    if known:
+        df, lost = align_to(df, StructType.fromJson(known))
+        dropped.extend(c for c in lost if c not in dropped)
+    pickup = next(c for c in df.columns if c.endswith("pickup_datetime"))
+    month = F.date_format(F.col(pickup), "yyyy-MM-01")
+    parts = V.write(df, path, TRIPS, partition_by=BRONZE_PARTITIONS, observe="bronze_load", measures={
+        "pickup_months": F.sort_array(F.collect_set(month)),  # at most one for each month there is
+        "checksum": row_checksum(df)})
+    if not parts:
+        return report | {"skipped": True}
+    for key, part in parts.items():
+        part["fingerprint"] = prints[key]
+    V.commit(spark, path, base, parts, info=None if known else V.schema_info(**{TRIPS: df.schema}))
+    report["rows"] = sum(p["rows"] for p in parts.values())
+    report["months"] = sorted(k.rsplit("=", 1)[1] for k in parts)
+    report["dropped_columns"] = sorted(dropped)
+    return report
+
+
+LEDGER = "service_type string, source_month string, rows_loaded long, checksum string, fingerprint string, version int"
+
+
+def ledger(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """One row per loaded month of versioned bronze tables, as they were committed."""
+    rows = []
+    for path in paths:
+        version = V.latest(spark, path)
+        for key, p in version.of(TRIPS).items():
+            service, month = (x.split("=", 1)[1] for x in key.split("/")[1:])
+            rows.append((service, month, p["rows"], p["checksum"], p["fingerprint"], version.number))
+    return spark.createDataFrame(rows, LEDGER)
+
+
+def reconciled(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """service_type, source_month, rows_found, checksum_found of what is there to be
+    read of versioned bronze tables: one scan and a combinable aggregate. Files that
+    are gone count as rows that are gone."""
+    out = None
+    for path in paths:
+        version = V.latest(spark, path)
+        schema = StructType.fromJson(version.info[f"schema:{TRIPS}"])
+        with_files = {k: p for k, p in version.of(TRIPS).items() if T.table_exists(spark, V.folder(path, k, p))}
+        df = V.read(spark, path, TRIPS, version, keys=with_files, schema=schema)
+        found = df.groupBy("service_type", "source_month").agg(
+            F.count(F.lit(1)).alias("rows_found"), row_checksum(df).alias("checksum_found"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def load_coverage(plan: DataFrame, loads: DataFrame, found: DataFrame, landed: DataFrame) -> DataFrame:
+    """``year_month, service_type, status, rows_loaded`` for each planned month, from
+    the ledger, what the tables hold (``reconciled``) and the landing files with
+    their fingerprints: ``missing`` (never loaded), ``partial`` (the table does not
+    hold the rows that were loaded), ``stale`` (delivered again since), ``loaded``."""
+    keys = ["service_type", "source_month"]
+    now = landed.select(*keys, F.col("fingerprint").alias("landed"))
+    all_there = F.col("rows_found").eqNullSafe(F.col("rows_loaded")) & F.col("checksum_found").eqNullSafe(F.col("checksum"))
+    status = (F.when(F.col("rows_loaded").isNull(), "missing").when(~all_there, "partial")
+              .when(F.col("landed") != F.col("fingerprint"), "stale").otherwise("loaded"))
+    return (plan.join(loads, keys, "left").join(found, keys, "left").join(now, keys, "left")
+            .select(F.col("source_month").alias("year_month"), "service_type", status.alias("status"),
+                    F.coalesce("rows_loaded", F.lit(0)).cast("long").alias("rows_loaded")))
+
+
 def loaded_months(bronze: DataFrame) -> DataFrame:
     """Distinct (service_type, source_month) present in bronze rows."""
     return bronze.select("service_type", "source_month").distinct()

@@ -9,6 +9,8 @@ calendar prunes month directories.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -204,12 +206,50 @@ def write_star(spark: SparkSession, star: Star, path: str, rebalance: bool = Fal
     except Exception:
         V.discard(spark, path, put)
         raise
-    V.commit(spark, path, base, put, info=info, whole=True)
+    from tripmart.schemas import STAR_DDL, star_schema
+
+    V.commit(spark, path, base, put, info=V.schema_info(**{t: star_schema(t) for t in STAR_DDL}) | (info or {}), whole=True)
     if not keep_old:
         V.vacuum(spark, path)
     return read_star(spark, path, star.settings)
 
 
+def refresh_star(spark: SparkSession, star: Callable[[list[str] | None], Star], path: str, sources: dict[str, dict],
+                 context: dict, rebalance: bool = False) -> dict:
+    """Bring the written star up to date with its sources, and say what was written:
+    ``rows`` and ``months`` of the fact.
+
+    ``sources``: for each source part its ``run`` and the ``pickup_months`` of its trips
+    (kept with the version that was built from them). A part whose run differs from
+    the one that the written star was built from has changed: the fact's months that
+    its trips fall into, then or now, are rebuilt from every source part that has
+    trips in them, so that a trip dated outside its month's file is neither lost nor
+    doubled. ``star(keys)`` gives the star of those parts (all of them for None). Other
+    months keep their files. A change of ``context`` (lookup, settings) or a missing star
+    rebuilds everything. One commit replaces the months and the dimensions."""
+    base = V.latest(spark, path)
+    before = base.info.get("sources", {})
+    now = {k: {"run": p["run"], "pickup_months": p["pickup_months"]} for k, p in sources.items()}
+    info = {"sources": now, "context": context}
+    if not base.number or base.info.get("context") != context:
+        write_star(spark, star(None), path, rebalance, info=info)
+        months = sorted(k.split("=", 1)[1] for k in V.latest(spark, path).of("fct_trips"))
+        return {"rows": V.latest(spark, path).rows("fct_trips"), "months": months, "full": True}
+    changed = [k for k in before.keys() | now.keys() if before.get(k) != now.get(k)]
+    months = sorted({m for k in changed for side in (before, now) for m in side.get(k, {}).get("pickup_months", [])})
+    if not changed:
+        return {"rows": 0, "months": [], "full": False}
+    feeding = [k for k, p in now.items() if set(p["pickup_months"]) & set(months)]
+    part = star(feeding)
+    put = write_fact(part.fct.where(F.col("pickup_month").isin([dt.date.fromisoformat(m) for m in months])),
+                     path, rebalance)
+    rows = sum(p["rows"] for p in put.values())
+    put |= write_dimensions(part, path)
+    V.commit(spark, path, base, put, drop=[f"fct_trips/pickup_month={m}" for m in months], info=info)
+    V.vacuum(spark, path)
+    return {"rows": rows, "months": months, "full": False}
+
+
 def read_star(spark: SparkSession, path: str, settings: Settings, version: V.Version | None = None) -> Star:
     """The written star as of a version (the latest if none is given), read with
     its declared schemas (no inference; the fact's ``pickup_month`` directories read

@@ -26,6 +26,7 @@ from tripmart.session import new_table_path
 from tripmart.sources import fixtures
 from tripmart.sources import landing as L
 from tripmart.sources import tables as T
+from tripmart.sources import versioned as V
 
 # integer columns the adapter lands as float or int (trip_type is not landed)
 REPAIRED = ("vendorid", "passenger_count", "pulocationid", "dolocationid", "ratecodeid",
@@ -175,6 +176,64 @@ def landing_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("ratecodes", zero).alias("ratecodes"), total.cast("long").alias("rows_loaded"))
 
 
+def _land_months(spark: SparkSession, land: fixtures.Landing, root: str, keep=None) -> str:
+    """Month files under their names, as they are delivered; the landing folder."""
+    for svc, df in (("yellow", land.yellow), ("green", land.green)):
+        df = df if keep is None else df.where(keep)
+        file = F.concat(F.lit(f"{svc}_tripdata_"), "source_month", F.lit(".parquet")).alias("_file")
+        df.select("*", file).drop("source_month").repartition("_file").write.partitionBy("_file").parquet(f"{root}/staged/{svc}")
+    T.rename_partitions(spark, [f"{root}/staged/{svc}" for svc in ("yellow", "green")], "_file", f"{root}/landing")
+    return f"{root}/landing"
+
+
+@register
+def refresh_changed_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All months loaded and the star built; then yellow June 1997 is delivered again,
+    without the trips of every fifth pickup zone and with those of the next fifth dated
+    a month later, and the warehouse refreshed: per pickup month the trips and the
+    revenue, as of a full rebuild, and the fact rows that the refresh wrote."""
+    from tripmart.warehouse import refresh
+
+    s, root = TESTDATA, new_table_path(spark, "refresh_changed_month")
+    land = fixtures.landing(spark, sf_dir)
+    landing = _land_months(spark, land, root)
+    first = refresh(spark, landing, land.zones, f"{root}/wh", s, rebalance_fact=True, run_checks=False)
+    june = land.yellow.where("source_month = '1997-06' AND PULocationID % 5 <> 0").drop("source_month")
+    for col in ("tpep_pickup_datetime", "tpep_dropoff_datetime"):
+        june = june.withColumn(col, F.when(F.col("PULocationID") % 5 == 1, F.col(col) + F.expr("interval 1 month"))
+                               .otherwise(F.col(col)))
+    june.write.mode("overwrite").parquet(f"{landing}/{L.trip_file_name('yellow', '1997-06')}")
+    second = refresh(spark, landing, land.zones, f"{root}/wh", s, rebalance_fact=True, run_checks=False)
+    assert first.loads["fct_trips"]["full"] and second.loads["yellow"]["months"] == ["1997-06"]
+    written = second.loads["fct_trips"]
+    of_month = F.col("pickup_month").cast("string").isin(written["months"])
+    by_month = second.star.fct.groupBy("pickup_month").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("total_amount").cast(MONEY_SUM).alias("revenue"))
+    return by_month.select("*", F.when(of_month, F.col("trips")).otherwise(F.lit(0)).cast("long").alias("rows_rewritten"),
+                           F.lit(written["rows"]).cast("long").alias("all_rewritten"))
+
+
+@register
+def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage from the load ledger: every March was never delivered, every April's
+    files are gone from the table, every May was delivered again since."""
+    s, root = TESTDATA, new_table_path(spark, "load_ledger")
+    land = fixtures.landing(spark, sf_dir)
+    month = F.substring("source_month", 6, 2)
+    landing = _land_months(spark, land, root, month != "03")
+    plan = L.load_plan(spark, s.plan_start, s.plan_end)
+    files = L.planned_fingerprints(spark, plan, landing)
+    paths = {svc: f"{root}/bronze/{svc}_tripdata" for svc in ("yellow", "green")}
+    for svc, path in paths.items():
+        B.load_changed(spark, files, path, svc)
+        for key, part in V.latest(spark, path).of(B.TRIPS).items():
+            if key.endswith("-04"):
+                T.remove(spark, V.folder(path, key, part))
+    landed = spark.createDataFrame(files, "service_type string, source_month string, path string, fingerprint string")
+    landed = landed.withColumn("fingerprint", F.when(month == "05", F.lit("another")).otherwise(F.col("fingerprint")))
+    return B.load_coverage(plan, B.ledger(spark, paths.values()), B.reconciled(spark, paths.values()), landed)
+
+
 @register
 def lookup_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The zone lookup written, replaced by itself, then by an empty one, which
@@ -337,6 +396,22 @@ def gold_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@register
+def fact_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact written as many small files, then rewritten by month into as few as
+    their bytes ask for: trips, revenue and files of each month, as committed."""
+    fct = layers(spark, sf_dir).star.fct
+    path = new_table_path(spark, "fact_compaction")
+    small = V.write(fct.repartition(6, "trip_key"), path, "fct_trips", partition_by=("pickup_month",))
+    V.commit(spark, path, V.latest(spark, path), small, info=V.schema_info(fct_trips=fct.schema))
+    V.compact(spark, path, "fct_trips", ["pickup_month"])
+    version = V.latest(spark, path)
+    files = spark.createDataFrame([(k.split("=")[1], p["files"]) for k, p in version.parts.items()], "m string, files long")
+    by_month = V.read(spark, path, "fct_trips", version).groupBy("pickup_month").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("total_amount").cast(MONEY_SUM).alias("revenue"))
+    return by_month.join(files, F.col("pickup_month").cast("string") == F.col("m")).drop("m")
+
+
 @register
 def zone_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """dim_zone as a table in four hash partitions, read back, with its trips."""

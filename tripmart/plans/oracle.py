@@ -223,4 +223,6 @@ def statements(s: Settings = TESTDATA) -> dict[str, str]:
     bodies = dict(questions(s))
     from tripmart.plans import oracle_layers
     bodies.update(oracle_layers.bodies(s))
-    return {k: head + v.strip() for k, v in bodies.items()}
+    again = head.replace("bronze_all AS (", "bronze_delivered AS (", 1).replace(
+        "bronze_zones AS (", f"bronze_all AS ({oracle_layers.REDELIVERED}),\nbronze_zones AS (", 1)
+    return {k: (again if k == "refresh_changed_month" else head) + v.strip() for k, v in bodies.items()}

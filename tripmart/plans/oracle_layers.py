@@ -86,6 +86,18 @@ def _suite() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+#: A month delivered again: what bronze holds in place of ``bronze_all`` (for refresh_changed_month).
+REDELIVERED = """
+  SELECT * REPLACE (
+    CASE WHEN service_type = 'yellow' AND source_month = '1997-06' AND pulocationid % 5 = 1
+         THEN pickup_datetime + INTERVAL 1 MONTH ELSE pickup_datetime END AS pickup_datetime,
+    CASE WHEN service_type = 'yellow' AND source_month = '1997-06' AND pulocationid % 5 = 1
+         THEN dropoff_datetime + INTERVAL 1 MONTH ELSE dropoff_datetime END AS dropoff_datetime)
+  FROM bronze_delivered
+  WHERE NOT (service_type = 'yellow' AND source_month = '1997-06' AND pulocationid % 5 = 0)
+"""
+
+
 def bodies(s: Settings = TESTDATA) -> dict[str, str]:
     lo = f"DATE '{s.calendar_start.replace(day=1)}'"
     hi_month = s.calendar_end.replace(day=1)
@@ -128,6 +140,24 @@ LEFT JOIN (
     COUNT(CASE WHEN CAST(substr(source_month, 6, 2) AS INTEGER) % 2 = 1 THEN ratecodeid END) AS ratecodes
   FROM bronze_all WHERE substr(source_month, 6, 2) <> '03' GROUP BY service_type, source_month) b
   ON p.service_type = b.service_type AND p.source_month = b.source_month""",
+        "refresh_changed_month": """
+SELECT m.*, CASE WHEN pickup_month IN (DATE '1997-06-01', DATE '1997-07-01') THEN trips ELSE 0 END AS rows_rewritten,
+  CAST(SUM(CASE WHEN pickup_month IN (DATE '1997-06-01', DATE '1997-07-01') THEN trips ELSE 0 END) OVER () AS BIGINT)
+    AS all_rewritten
+FROM (SELECT CAST(date_trunc('month', pickup_date) AS DATE) AS pickup_month, COUNT(*) AS trips,
+        CAST(SUM(total_amount) AS DECIMAL(28,2)) AS revenue FROM fct GROUP BY 1) m""",
+        "load_ledger": f"""
+SELECT p.source_month AS year_month, p.service_type,
+  CASE WHEN l.trips IS NULL THEN 'missing' WHEN p.month = 4 THEN 'partial' WHEN p.month = 5 THEN 'stale'
+    ELSE 'loaded' END AS status, COALESCE(l.trips, 0) AS rows_loaded
+FROM ({_plan(f"DATE '{s.plan_start}'", f"DATE '{s.plan_end}'")}) p
+LEFT JOIN (SELECT service_type, source_month, COUNT(*) AS trips FROM bronze_all
+           WHERE substr(source_month, 6, 2) <> '03' GROUP BY service_type, source_month) l
+  ON p.service_type = l.service_type AND p.source_month = l.source_month""",
+        "fact_compaction": """
+SELECT CAST(date_trunc('month', pickup_date) AS DATE) AS pickup_month, COUNT(*) AS trips,
+  CAST(SUM(total_amount) AS DECIMAL(28,2)) AS revenue, CAST(1 AS BIGINT) AS files
+FROM fct GROUP BY 1""",
         "lookup_reload": "SELECT locationid, borough, _zone, 'static' AS source_month, 'lookup' AS service_type FROM bronze_zones",
         "gold_reload": "SELECT 'fct_trips' AS table_name, (SELECT COUNT(*) FROM fct) AS n" + "".join(
             f" UNION ALL SELECT '{t}', (SELECT COUNT(*) FROM {t})"

@@ -111,6 +111,24 @@ def planned_files(spark: SparkSession, plan: DataFrame, landing_dir: str) -> lis
     return [(r.service_type, r.source_month, r.path) for r in rows]
 
 
+def planned_fingerprints(spark: SparkSession, plan: DataFrame,
+                         landing_dir: str) -> list[tuple[str, str, str, str]]:
+    """(service_type, source_month, path, fingerprint) for each planned month whose
+    file exists. The fingerprint covers names, sizes and times of the month's files,
+    in any order: a month delivered again has another one. Bounded by the plan."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.parquet").load(landing_dir)
+             .select("path", "length", "modificationTime").where(F.col("path").rlike(TRIP_PATH)))
+    part = F.xxhash64("path", "length", "modificationTime").cast("decimal(20,0)")
+    months = files.groupBy(F.regexp_extract("path", TRIP_PATH, 1).alias("path"),
+                           F.regexp_extract("path", TRIP_PATH, 2).alias("service_type"),
+                           F.regexp_extract("path", TRIP_PATH, 3).alias("source_month")).agg(
+        F.concat_ws(":", F.count(F.lit(1)), F.sum("length"), F.sum(part)).alias("fingerprint"))
+    rows = (plan.join(months, ["service_type", "source_month"]).orderBy("source_month", "service_type")
+            .select("service_type", "source_month", "path", "fingerprint").collect())
+    return [tuple(r) for r in rows]
+
+
 def lower_case_columns(df: DataFrame) -> DataFrame:
     """Lower-case every column name; two names equal after that is an error."""
     lowered = [c.lower() for c in df.columns]

@@ -24,7 +24,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: Sequence[str] = (), dynamic: bool = False,
                 rebalance: Sequence[str] | None = None,
                 accepted: dict[str, Iterable] | None = None,
-                observe: str | None = None, fmt: str = "parquet") -> dict:
+                observe: str | None = None, fmt: str = "parquet",
+                max_rows_per_file: int | None = None) -> dict:
     """Write ``df`` to ``path``; return ``{"rows": n}`` counted during the write.
 
     ``dynamic=True`` replaces only the partitions present in ``df`` (a month
@@ -48,6 +49,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
         w = w.partitionBy(*partition_by)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
+    if max_rows_per_file:
+        w = w.option("maxRecordsPerFile", max_rows_per_file)
     w.save(path)
     return dict(obs.get)
 

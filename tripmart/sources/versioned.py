@@ -184,6 +184,35 @@ def _sizes(spark: SparkSession, base: str) -> dict[str, tuple[int, int]]:
     return {r["partition"]: (r["files"], r["bytes"]) for r in rows.collect()}
 
 
+def compact(spark: SparkSession, root: str, table: str, partition_by: Sequence[str],
+            target_bytes: int = 128 << 20) -> dict[str, dict]:
+    """Rewrite the parts of a table that have more files than their bytes ask for,
+    into files of about ``target_bytes``, and commit them in place of the old ones; the
+    new parts. Rows go to a file by hash, so a large part is written by many tasks. A
+    part that another writer replaced meanwhile makes it raise ``Conflict``."""
+    base = latest(spark, root)
+    files = {k: max(1, -(-p["bytes"] // target_bytes)) for k, p in base.of(table).items()}
+    small = {k: p for k, p in base.of(table).items() if p["files"] > files[k]}
+    if not small:
+        return {}
+    rows = read(spark, root, table, base, keys=small)
+    # which part a row belongs to is in the path of the file that it comes from
+    path = F.regexp_extract("_metadata.file_path", rf"/{RUN}=[^/]*/(.*)/[^/]*$", 1)
+    counts = F.create_map(*[F.lit(x) for k in small for x in (k.split("/", 1)[1], files[k])])
+    dealt = rows.withColumn("_file", F.pmod(F.xxhash64(*[f"`{c}`" for c in rows.columns]), counts[path]))
+    # two files of a part that meet in one task are cut there; hashing is even to a quarter
+    most = max(-(-p["rows"] // files[k]) for k, p in small.items()) * 5 // 4 + 1
+    put = write(dealt.repartition(*partition_by, "_file").drop("_file"), root, table, partition_by=partition_by,
+                max_rows_per_file=most)
+    for k, p in small.items():
+        if put.get(k, {}).get("rows") != p["rows"]:
+            discard(spark, root, put)
+            raise RuntimeError(f"{k} has {p['rows']} rows, its rewrite {put.get(k, {}).get('rows')}")
+        put[k] = p | put[k]
+    commit(spark, root, base, put)
+    return put
+
+
 def schema_info(**tables: StructType) -> dict:
     return {f"schema:{name}": schema.jsonValue() for name, schema in tables.items()}
 
