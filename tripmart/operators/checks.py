@@ -3,6 +3,7 @@ DataFrame; ``run_checks`` returns one summary row per check.
 
 * ``not_null``: rows where the column is NULL;
 * ``unique``: values held by more than one row (NULL ignored), with counts;
+  ``unique_by_sketch``: the same for large keys, without shuffling every value;
 * ``accepted_values``: values outside the list (NULL passes), with counts;
 * ``relationships``: child rows whose key has no parent (NULL child passes).
 
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import REFERENCE
+from tripmart.operators.duplicates import duplicates
 
 c = F.col
 MAX_BROADCAST_ROWS = REFERENCE.broadcast_max_rows
@@ -38,6 +40,15 @@ def unique(df: DataFrame, column: str, hexadecimal: bool = False) -> DataFrame:
     return out.withColumn("value", F.lower(F.hex("value"))) if hexadecimal else out
 
 
+def unique_by_sketch(df: DataFrame, column: str, hexadecimal: bool = False, rows: int | None = None) -> DataFrame:
+    """``unique`` for a key that is nearly unique: only the rows that may be
+    duplicates are shuffled (``operators.duplicates``). ``rows``: how many there are, if
+    known."""
+    value = F.unhex(c(column)) if hexadecimal else c(column)
+    out = duplicates(df, value, rows)
+    return out.withColumn("value", F.lower(F.hex("value"))) if hexadecimal else out
+
+
 def accepted_values(df: DataFrame, column: str, values: Iterable) -> DataFrame:
     """``value, row_count`` for each non-NULL value not in ``values``."""
     vals = list(values)

@@ -461,6 +461,16 @@ def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.unique(layers(spark, sf_dir).star.fct, "trip_key", hexadecimal=True)
 
 
+@register
+def check_unique_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the written fact, by a sketch of the keys: only rows that may
+    be duplicates are shuffled."""
+    fct = layers(spark, sf_dir).star.fct.select("trip_key", "pickup_month")
+    path = new_table_path(spark, "check_unique_sketch")
+    rows = T.write_table(fct, path)["rows"]
+    return K.unique_by_sketch(T.read_table(spark, path, schema=fct.schema), "trip_key", True, rows)
+
+
 @register
 def check_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver vendor codes outside the vendor dimension's known codes."""

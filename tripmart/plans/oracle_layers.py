@@ -217,6 +217,9 @@ FROM fct GROUP BY 1""",
         "check_not_null": "SELECT * FROM silver WHERE passengers_count IS NULL",
         "check_unique": """
 SELECT trip_key AS value, COUNT(*) AS row_count FROM fct WHERE trip_key IS NOT NULL
+GROUP BY trip_key HAVING COUNT(*) > 1""",
+        "check_unique_sketch": """
+SELECT trip_key AS value, COUNT(*) AS row_count FROM fct WHERE trip_key IS NOT NULL
 GROUP BY trip_key HAVING COUNT(*) > 1""",
         "check_accepted_values": """
 SELECT vendor_id AS value, COUNT(*) AS row_count FROM silver
