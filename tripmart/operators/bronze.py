@@ -9,13 +9,14 @@ month leaves old rows untouched, and all months load in one Spark job
 
 from __future__ import annotations
 
+import functools
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DecimalType, DoubleType, NullType, StringType, StructType
 
 from tripmart.config import INT_REPAIR_COLUMNS, SERVICES
 from tripmart.sources import landing as L
@@ -26,6 +27,9 @@ BRONZE_PARTITIONS = ("service_type", "source_month")
 # What Spark's errors say of a file that is absent or no Parquet file.
 UNREADABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "is not a Parquet file",
               "FileNotFoundException")
+# What they say of files that disagree on the type of a column.
+MERGE_FAILS = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE", "FAILED_MERGE_FIELDS",
+               "Failed to merge", "CANNOT_READ_FILE_FOOTER", "Could not read footer", "FAILED_READ_FILE")
 INGEST_COLUMNS = ("ingest_ts", "source_month", "service_type")
 
 
@@ -111,53 +115,108 @@ def load_months(spark: SparkSession, df: DataFrame, path: str) -> dict:
     return stats
 
 
+#: Numeric types from the narrowest to the widest; a decimal lies between bigint and double.
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+#: Digits before the point that hold any value of an integer type.
+INTEGER_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def widest(a: DataType, b: DataType) -> DataType:
+    """The narrowest type that holds the values of both: integers, decimals, float and
+    double widen to one another (bigint and decimal to double only where a double is one
+    of them); date to timestamp; anything else that differs becomes text."""
+    names = [a.simpleString(), b.simpleString()]
+    if names[0] == names[1]:
+        return a
+    if all(n in INTEGERS for n in names):
+        return max((a, b), key=lambda t: INTEGERS.index(t.simpleString()))
+    digits = [(t.precision - t.scale, t.scale) if isinstance(t, DecimalType) else
+              (INTEGER_DIGITS[n], 0) if n in INTEGERS else None for t, n in zip((a, b), names)]
+    if all(digits):
+        whole, scale = (max(x) for x in zip(*digits))
+        return DecimalType(whole + scale, scale) if whole + scale <= 38 else DoubleType()
+    if all(d or n in ("float", "double") for d, n in zip(digits, names)):
+        return DoubleType()
+    if "date" in names and ("timestamp_ntz" in names or "timestamp" in names):
+        return a if names[1] == "date" else b
+    if isinstance(a, NullType):
+        return b
+    return a if isinstance(b, NullType) else StringType()
+
+
+def widened(schemas: Sequence[StructType], columns: Iterable[str]) -> StructType:
+    """The given columns, each in the widest type that any of the schemas has for it,
+    whatever their order."""
+    out = StructType()
+    for name in columns:
+        types = [s[name].dataType for s in schemas if name in s.names]
+        out.add(name, functools.reduce(widest, types))
+    return out
+
+
 def read_landing_months(spark: SparkSession, files: list[tuple[str, str, str]],
                         service: str, dropped: list[str] | None = None,
                         failed: list[str] | None = None) -> DataFrame | None:
     """Read the planned month files of one service.
 
-    Files are grouped by their physical schema (footers are read on the
-    driver; no data) and each group is one multi-path read, so a thousand
-    files with two schema versions make two scans, not a thousand-way union.
-    ``source_month`` comes from the month file (or folder) name. Every group
-    is aligned to the first file's bronze schema before the union (files
-    drift in type and columns; the part files of a folder are merged); the
-    columns this drops are appended to ``dropped``. A month whose file is gone
-    or is no Parquet file is skipped, so its month in bronze stays as it was,
+    One distributed job merges the footers of all files, however many (and the part
+    files of a month's folder); the months are then one scan, in which a column that a
+    file lacks is NULL. Where files disagree on a type, or one cannot be read, the
+    schemas are read month by month, concurrently, and months of equal schema are one
+    scan: a thousand files with two schema versions make two scans, not a
+    thousand-way union. ``source_month`` comes from the month file (or folder) name.
+    The columns are those of the first file, each in the widest type that any file
+    has for it; the columns this drops are appended to ``dropped``. A month whose file
+    is gone or is no Parquet file is skipped, so its month in bronze stays as it was,
     and it is appended to ``failed``; any other error is raised."""
     mine = [(month, path) for svc, month, path in files if svc == service]
+    if not mine:
+        return None
 
-    def footer_schema(path: str) -> str | None:
+    def merged_schema(*paths: str) -> str | None:
         try:
-            return spark.read.option("mergeSchema", True).parquet(path).schema.json()
+            return spark.read.option("mergeSchema", True).parquet(*paths).schema.json()
         except Exception as exc:
-            if any(x in str(exc) for x in UNREADABLE):
+            if any(x in str(exc) for x in (*UNREADABLE, *(MERGE_FAILS if len(paths) > 1 else ()))):
                 return None
             raise
 
-    # footers only; read concurrently so thousands of files do not queue up
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        schemas = list(pool.map(footer_schema, [p for _, p in mine]))
     groups: dict[str, list[str]] = {}
-    for (month, path), schema in zip(mine, schemas):
-        if schema is None:
-            if failed is not None:
-                failed.append(month)
-            continue
-        groups.setdefault(schema, []).append(path)
+    together = merged_schema(*[p for _, p in mine]) if len(mine) > 1 else None
+    first = None
+    if together:
+        groups[together] = [p for _, p in mine]
+        first = merged_schema(mine[0][1])
+    else:
+        # footers only; read concurrently so that many files do not queue up
+        with ThreadPoolExecutor(max_workers=16) as pool:
+            schemas = list(pool.map(merged_schema, [p for _, p in mine]))
+        for (month, path), schema in zip(mine, schemas):
+            if schema is None:
+                if failed is not None:
+                    failed.append(month)
+                continue
+            first = first or schema
+            groups.setdefault(schema, []).append(path)
     if not groups:
         return None
     month = F.regexp_extract(F.col("_metadata.file_path"), r"_tripdata_(\d{4}-\d{2})\.parquet", 1)
-    frames = [to_bronze_trips(spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*paths)
+
+    def struct(text: str) -> StructType:
+        return StructType.fromJson(json.loads(text))
+
+    frames = [to_bronze_trips(spark.read.schema(struct(schema)).parquet(*paths)
                               .withColumn("source_month", month), service)
               for schema, paths in groups.items()]
-    target = frames[0].schema
-    out = frames[0]
-    for f in frames[1:]:
+    names = [f.name.lower() for f in struct(first).fields]
+    ours = [c for c in frames[0].columns if c in names or c in INGEST_COLUMNS]
+    target = widened([f.schema for f in frames], ours)
+    out = None
+    for f in frames:
         aligned, lost = align_to(f, target)
         if dropped is not None:
             dropped.extend(c for c in lost if c not in dropped)
-        out = out.unionByName(aligned)
+        out = aligned if out is None else out.unionByName(aligned)
     return out
 
 
