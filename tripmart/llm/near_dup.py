@@ -31,6 +31,7 @@ null. Further columns are passed through.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import WordHashes, as_array, bytes_of, discard, mix, row_key, word_blocks, written
+from tripmart.llm.common import (WordHashes, as_array, bytes_of, discard, given_back, mix, row_key, word_blocks,
+                                 written)
 
 SHINGLE = 5
 REGISTERS = 128
@@ -138,7 +140,7 @@ def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def sign_documents(docs: DataFrame) -> DataFrame:
     """doc_id, doc_key, node (hash of the words) and bands, of each text with a word."""
     slim = docs.select("doc_id", row_key("doc_id", "text").alias("doc_key"), "text")
-    return slim.mapInArrow(_sign_batches, "doc_id long, doc_key long, node binary, bands array<long>")
+    return slim.mapInArrow(given_back(_sign_batches), "doc_id long, doc_key long, node binary, bands array<long>")
 
 
 def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,6 +209,27 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """node, label of the graph behind labels with more edges (a, b). What is known is
+    not walked again: each component is one node, and only edges between different
+    ones are left to spread along."""
+    a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    between = written(edges.join(a, "a", "left").join(b, "b", "left").select(
+        F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).where("a != b").distinct(), "between")
+    if between.isEmpty():
+        discard(between)
+        return labels
+    merged = components(between)
+    discard(between)
+    of = merged.select(F.col("node").alias("label"), F.col("label").alias("least"))
+    out = written(labels.join(of, "label", "left").select("node", F.coalesce("least", "label").alias("label"))
+                  .union(merged.join(labels, "node", "left_anti").select("node", "label")), "labels")
+    for old in (labels, merged):
+        discard(old)
+    return out
+
+
 def link_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(signed, links, labels): the signed documents with their nodes; the
     verified pairs of nodes; the component label of each node that has a link."""
@@ -221,14 +244,14 @@ def link_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     texts = docs.select("doc_id", row_key("doc_id", "text").alias("doc_key"), "text").alias("d") \
         .join(members.alias("m"), F.expr("d.doc_key = m.doc_key AND d.doc_id <=> m.doc_id")) \
         .select("node", "text").dropDuplicates(["node"])
-    sets = written(texts.mapInArrow(_shingle_batches, "node binary, shingles array<long>, parity array<long>"), "shingles")
+    sets = written(texts.mapInArrow(given_back(_shingle_batches), "node binary, shingles array<long>, parity array<long>"), "shingles")
     facts = sets.select("node", F.size("shingles").alias("n"), "parity")
     # a node whose bands are all in large buckets is close to the middle of its group
     sizes = buckets.groupBy("band").agg(F.count("*").alias("size"))
     middle = buckets.join(sizes, "band").groupBy("node").agg(F.sum("size").alias("middle"))
     buckets = written(buckets.select("band", "node").join(middle, "node"), "buckets")
 
-    links = labels = None
+    found, labels = [], None
     for _ in range(STARS):
         placed = buckets.withColumn("label", F.col("node")) if labels is None else _labelled(buckets, labels)
         if labels is not None:
@@ -239,9 +262,8 @@ def link_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         lead = open_.groupBy("band").agg(F.max(F.struct("middle", "node", "label")).alias("lead"))
         star = placed.join(lead, "band").where(F.col("label") != F.col("lead.label")) \
             .select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct()
-        found = _similar(star, facts, sets)
-        links = written(found if links is None else links.union(found), "links")
-        labels = components(links)
+        found.append(written(_similar(star, facts, sets), "links"))
+        labels = components(found[-1]) if labels is None else joined(labels, found[-1])
     placed = _labelled(buckets, labels)
     placed = placed.join(_largest(placed), "band").join(facts, "node")
     x, y = placed.where("label != largest").alias("x"), placed.alias("y")
@@ -249,9 +271,13 @@ def link_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
                   & ((F.col("x.node") < F.col("y.node")) | (F.col("y.label") == F.col("y.largest")))
                   & _may_be_similar("x", "y")) \
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    links = written(links.union(_similar(rest, facts, sets)).select(
+    found.append(written(_similar(rest, facts, sets), "links"))
+    labels = joined(labels, found[-1])
+    links = written(functools.reduce(DataFrame.union, found).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    return signed, links, components(links)
+    for df in (*found, buckets, sets):
+        discard(df)
+    return signed, links, labels
 
 
 def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
