@@ -34,13 +34,13 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import as_array, bytes_of, per_worker, word_blocks, written
+from tripmart.llm.common import as_array, bytes_of, given_back, per_worker, word_blocks, written
 
 SEQUENCE = 2048
 END_ID = 1
 PAD_ID = END_ID
 RANK_BLOCK = 50_000
-MOST_WORDS = 250_000
+MOST_WORDS = 150_000
 BATCH_BYTES = 1 << 21
 
 
@@ -84,6 +84,10 @@ class WordTokenizer:
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = {b: 256 + k for k, b in enumerate(hidden)}
 
+    def forget(self) -> None:
+        """At the end of a task: keep the latest words only."""
+        self.older, self.older_parts = {}, {}
+
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
@@ -187,9 +191,10 @@ def tokenize(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
                     texts = [b"".join([*parts, end])]
                 yield pieces(batch.column(0).slice(at, stop - at), texts)
                 at = stop
+        words_to_ids.forget()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, start long, length long, doc_tokens long, ids binary")
+        given_back(run), "doc_id long, start long, length long, doc_tokens long, ids binary")
 
 
 def patterns(counts: dict[int, int], size: int = SEQUENCE) -> list[tuple[tuple[int, ...], int]]:
@@ -246,7 +251,7 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     sizes = dealt.groupBy("length", "block").agg(F.count("*").alias("n"))
     before = sizes.select("length", "block", (F.sum("n").over(
         Window.partitionBy("length").orderBy("block")) - F.col("n")).alias("before"))
-    order = Window.partitionBy("length", "block").orderBy("doc_id", "start")
+    order = Window.partitionBy("length", "block").orderBy("doc_id", "start", *[c for c in ("ids_crc32",) if c in pieces.columns])
     ranked = dealt.withColumn("place", F.row_number().over(order) - 1).join(before, ["length", "block"]) \
         .withColumn("rank", F.col("before") + F.col("place")).drop("block", "place", "before")
     segments = F.broadcast(spark.createDataFrame(_segments(patterns(counts, size))))
