@@ -477,3 +477,26 @@ def test_line_links(spark, docs, texts, variants):
                 parent[b] = a
         got = {r["doc_id"]: (r["n_links"], r["class_id"]) for r in line_dedup.count_lines(df).collect()}
         assert got == {k: (sum(degree[s] if new else 1 for s, new in lines[k]), root(k)) for k in own}
+
+
+def test_every_language_is_learned(spark):
+    """More languages than a table of a fixed size would hold, one of them of many rows."""
+    rng = random.Random(12)
+    def word():
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    vocab = {f"l{k:03d}": [word() for _ in range(15)] for k in range(150)}
+    rows, n = [], 0
+    for lang, words in vocab.items():
+        for _ in range(60 if lang == "l000" else 10):
+            rows.append((n, " ".join(rng.choice(words) for _ in range(40)), lang))
+            n += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = lang_id.identify(df).join(df.select("doc_id", "lang"), "doc_id").collect()
+    assert len({r["lang_pred"] for r in got}) == 150
+    held = [r for r in got if r["held_out"]]
+    assert {r["doc_id"] for r in held} == {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert sum(r["lang_pred"] == r["lang"] for r in held) >= 0.97 * len(held)
+    # without a label every text with a letter stays
+    blank = df.withColumn("lang", F.lit(None).cast("string")).union(spark.createDataFrame([(-1, "12 34", None)], df.schema))
+    assert lang_id.keep_identified(blank).count() == len(rows)
+    assert {r["lang_pred"] for r in lang_id.identify(blank).collect()} == {"und"}

@@ -8,13 +8,16 @@ against the votes, and flags a text as ambiguous when the runner-up is close.
 Fitting reads a bounded sample of labelled rows: about ``rows_per_language``
 rows of each language, chosen by a hash of the id, whole texts. Predicting is a
 map over all rows, whole texts in blocks, with no shuffle. What travels with it is
-bits x 2**HASH_BITS float32 numbers, fixed by the number of languages (at most
-``max_languages``).
+bits x 2**HASH_BITS float32 numbers; a codeword has 10 bits for each doubling of the
+number of languages. Every value of lang is learned; the driver holds 2**HASH_BITS
+numbers for each of them while it fits.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0
-and not ambiguous; with no labelled row every text is ``und``; with one
-language every other text gets it with score 1. Repeated rows and further
-columns have no effect. Null languages are never learned from.
+and not ambiguous; with no labelled row every text is ``und``, and
+``keep_identified`` keeps those with a letter; with one language every other text
+gets it with score 1. Of equally near codewords the language that sorts first is
+taken. Repeated rows and further columns have no effect, and an empty table gives an
+empty result. Null languages are never learned from.
 """
 
 from __future__ import annotations
@@ -118,12 +121,10 @@ def training_rows(docs: DataFrame, modulus: int) -> DataFrame:
                       & F.col("text").isNotNull())
 
 
-def fit(docs: DataFrame, modulus: int = 5, rows_per_language: int = 1000,
-        max_languages: int = 128) -> Model | None:
+def fit(docs: DataFrame, modulus: int = 5, rows_per_language: int = 1000) -> Model | None:
     """Learn from the rows whose fold is not 0. None if no row has a label."""
     rows = training_rows(docs.select("doc_id", "text", "lang"), modulus)
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
     languages = sorted(sizes)
@@ -136,24 +137,31 @@ def fit(docs: DataFrame, modulus: int = 5, rows_per_language: int = 1000,
         .select("lang", "text", (F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0).alias("first"))
 
     def count(batches):
-        seen = np.zeros((len(languages), 1 << HASH_BITS), np.int64)
+        def flush():
+            cell, n = np.unique(np.concatenate(cells), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(cell >> HASH_BITS, pa.int32()), pa.array(
+                cell & (1 << HASH_BITS) - 1, pa.int32()), pa.array(n, pa.int64())], ["lang", "slot", "n"])
+
+        cells, size = [], 0
         for batch in batches:
             raw, off = bytes_of(as_array(batch.column(1)))
             for i, name in enumerate(batch.column(0).to_pylist()):
                 for block, own in _blocks(raw, off[i], off[i + 1]):
                     for order in ORDERS:
-                        seen[index[name]] += np.bincount(_ngram_slots(block, order)[:own],
-                                                         minlength=1 << HASH_BITS)
-        lang, slot = np.nonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(lang, pa.int32()), pa.array(slot, pa.int32()),
-                                          pa.array(seen[lang, slot], pa.int64())], ["lang", "slot", "n"])
+                        cells.append(_ngram_slots(block, order)[:own] | index[name] << HASH_BITS)
+                        size += len(cells[-1])
+                    if size > 1 << 22:
+                        yield flush()
+                        cells, size = [], 0
+        if size:
+            yield flush()
 
     counted = sample.where("first").select("lang", "text").mapInArrow(count, "lang int, slot int, n long") \
         .groupBy("lang", "slot").agg(F.sum("n").alias("n"))
-    seen = np.zeros((len(languages), 1 << HASH_BITS))
+    p = np.full((len(languages), 1 << HASH_BITS), 0.1, np.float32)
     got = counted.toPandas()
-    seen[got["lang"].to_numpy(int), got["slot"].to_numpy(int)] = got["n"].to_numpy(float)
-    p = (seen + 0.1) / (seen + 0.1).sum(1, keepdims=True)
+    p[got["lang"].to_numpy(int), got["slot"].to_numpy(int)] += got["n"].to_numpy(np.float32)
+    p /= p.sum(1, keepdims=True, dtype=np.float64)
     weights = np.zeros((code.shape[1], 1 << HASH_BITS), np.float32)
     for b in range(code.shape[1]):
         odds = np.log(p[code[:, b] > 0].mean(0)) - np.log(p[code[:, b] < 0].mean(0))
@@ -234,6 +242,9 @@ def identify(docs: DataFrame, modulus: int = 5) -> DataFrame:
 
 def keep_identified(docs: DataFrame, modulus: int = 5) -> DataFrame:
     """The documents with a language; those without a letter go. Ambiguous ones
-    stay: a text in two languages is not junk."""
+    stay: a text in two languages is not junk. Without a labelled row nothing is known
+    of languages, and every text with a letter stays."""
     model = fit(docs, modulus)
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return predict(docs, model).where(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)
