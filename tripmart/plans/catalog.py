@@ -20,6 +20,7 @@ from tripmart.operators import bronze as B
 from tripmart.operators import checks as K
 from tripmart.operators import gold as G
 from tripmart.operators import impute as I
+from tripmart.operators import rollup as R
 from tripmart.operators import silver as S
 from tripmart.plans.questions import QUESTIONS
 from tripmart.session import new_table_path
@@ -412,6 +413,16 @@ def fact_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_month.join(files, F.col("pickup_month").cast("string") == F.col("m")).drop("m")
 
 
+@register
+def rollup_by_service_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star written, its rollup built by month, and the monthly figures of each
+    service answered from the rollup alone."""
+    path = new_table_path(spark, "rollup")
+    star = G.write_star(spark, layers(spark, sf_dir).star, path, rebalance=True)
+    R.refresh_rollup(spark, path)
+    return R.by(star, R.read_rollup(spark, path), ["year", "month", "service_type"], list(R.MEASURES))
+
+
 @register
 def zone_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """dim_zone as a table in four hash partitions, read back, with its trips."""

@@ -158,6 +158,13 @@ LEFT JOIN (SELECT service_type, source_month, COUNT(*) AS trips FROM bronze_all
 SELECT CAST(date_trunc('month', pickup_date) AS DATE) AS pickup_month, COUNT(*) AS trips,
   CAST(SUM(total_amount) AS DECIMAL(28,2)) AS revenue, CAST(1 AS BIGINT) AS files
 FROM fct GROUP BY 1""",
+        "rollup_by_service_month": """
+SELECT d.year, d.month, s.service_type, COUNT(*) AS total_trips,
+  CAST(SUM(f.total_amount) AS DECIMAL(28,2)) AS total_revenue,
+  ROUND(AVG(CAST(f.tip_amount AS DOUBLE) / NULLIF(CAST(f.fare_amount AS DOUBLE), 0)) * 100, 6) AS avg_tip_percentage,
+  ROUND(AVG(f.minutes), 6) AS avg_duration_min, ROUND(AVG(CAST(f.trip_distance AS DOUBLE)), 6) AS avg_distance
+FROM _minutes f JOIN dim_date d ON f.pickup_date_key = d.date_key JOIN dim_service_type s ON f.service_key = s.service_id
+GROUP BY d.year, d.month, s.service_type""",
         "lookup_reload": "SELECT locationid, borough, _zone, 'static' AS source_month, 'lookup' AS service_type FROM bronze_zones",
         "gold_reload": "SELECT 'fct_trips' AS table_name, (SELECT COUNT(*) FROM fct) AS n" + "".join(
             f" UNION ALL SELECT '{t}', (SELECT COUNT(*) FROM {t})"
