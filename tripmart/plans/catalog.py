@@ -9,7 +9,7 @@ the question is a top-k.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,8 @@ from tripmart.operators import bronze as B
 from tripmart.operators import checks as K
 from tripmart.operators import gold as G
 from tripmart.operators import impute as I
+from tripmart.operators import joins as J
+from tripmart.operators import month_checks as M
 from tripmart.operators import rollup as R
 from tripmart.operators import silver as S
 from tripmart.plans.questions import QUESTIONS
@@ -433,6 +435,20 @@ def zone_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_trips(spark.table(name), star.fct, "zone_key", "pu_zone_key")
 
 
+@register
+def zone_join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips and revenue by zone from the fact and the zones in the same hash buckets,
+    joined without an exchange, as beyond the broadcast bound."""
+    star = layers(spark, sf_dir).star
+    paths = (new_table_path(spark, "bucketed_fact"), new_table_path(spark, "bucketed_zones"))
+    names = tuple(f"{p.rsplit('/', 1)[1].replace('-', '_')}" for p in paths)
+    fct = star.fct.select("trip_key", "pu_zone_key", "total_amount")
+    J.save_colocated(fct, star.dim_zone, "pu_zone_key", "zone_key", "trip_key", 8, *names, paths=paths)
+    both = J.colocated_join(spark, *names, "pu_zone_key", "zone_key")
+    return both.groupBy("zone_key", "zone_name", "borough").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("total_amount").cast(MONEY_SUM).alias("revenue"))
+
+
 @register
 def list_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The service dimension in one partition per listed service, read back
@@ -512,6 +528,20 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.run_checks(spark, K.REFERENCE_SUITE, models)
 
 
+@register
+def quality_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact's checks from states by month: the star without June 1998 is written
+    and checked, the month added, and only that month read; with the months of the
+    second reading."""
+    star, path = layers(spark, sf_dir).star, new_table_path(spark, "quality_by_month")
+    june = F.col("pickup_month") == F.lit("1998-06-01").cast("date")
+    G.write_star(spark, replace(star, fct=star.fct.where(~june)), path, rebalance=True)
+    M.refresh_checks(spark, path)
+    V.commit(spark, path, V.latest(spark, path), G.write_fact(star.fct.where(june), path, True))
+    months = M.refresh_checks(spark, path)
+    return M.report(spark, path).withColumn("months_read", F.lit(",".join(months)))
+
+
 # Imputation (A12, T1) --------------------------------------------------------
 
 NUMERIC_FACT_COLUMNS = ("passengers_count", "trip_distance", "fare_amount", "tip_amount",

@@ -170,6 +170,9 @@ GROUP BY d.year, d.month, s.service_type""",
             f" UNION ALL SELECT '{t}', (SELECT COUNT(*) FROM {t})"
             for t in ("dim_date", "dim_zone", "dim_service_type", "dim_payment_type", "dim_vendor")),
         "zone_buckets": _with_trips("dim_zone", "zone_key", "pu_zone_key"),
+        "zone_join_bucketed": """
+SELECT z.zone_key, z.zone_name, z.borough, COUNT(*) AS trips, CAST(SUM(f.total_amount) AS DECIMAL(28,2)) AS revenue
+FROM fct f JOIN dim_zone z ON f.pu_zone_key = z.zone_key GROUP BY z.zone_key, z.zone_name, z.borough""",
         "list_partitions": _with_trips("dim_service_type", "service_id", "service_key"),
         "stream_ingest": """
 SELECT service_type, source_month, COUNT(*) AS trips,
@@ -235,6 +238,8 @@ WHERE vendor_id IS NOT NULL AND vendor_id NOT IN (1, 2) GROUP BY vendor_id""",
 SELECT f.* FROM fct f WHERE f.pickup_date_key IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_key = f.pickup_date_key)""",
         "quality_report": _suite(),
+        "quality_by_month": f"""
+SELECT s.*, '1998-06-01' AS months_read FROM ({_suite()}) s WHERE s.model = 'fct_trips'""",
         "upper_median": "SELECT " + ", ".join(f"{med(x)} AS {x}" for x in NUMERIC_FACT)
         + " FROM fct",
         "csv_sample_fill": "SELECT trip_key, " + ", ".join(

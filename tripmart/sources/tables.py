@@ -78,13 +78,14 @@ def save_table(df: DataFrame, qualified_name: str, mode: str = "overwrite",
     return dict(obs.get)
 
 
-def save_bucketed(df: DataFrame, table: str, buckets: int, key: str,
+def save_bucketed(df: DataFrame, table: str, buckets: int, key: str | Sequence[str],
                   path: str | None = None) -> None:
     """Hash-partitioned catalog table (``bucketBy``). A later join or
     aggregation on ``key`` with the same bucket count needs no shuffle."""
     if "." in table:
         ensure_database(df.sparkSession, table.split(".", 1)[0])
-    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    keys = [key] if isinstance(key, str) else list(key)
+    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)
