@@ -218,6 +218,82 @@ def test_decontamination_paraphrases(spark, texts):
     assert len(wanted & got) >= 0.9 * len(wanted)
 
 
+def _exhaustive(index, ids):
+    """passages of which any region of the text meets the rules of a match."""
+    found = set()
+    for k, p in enumerate(index.passages):
+        reach = -(-3 * len(p) // 4)
+        for middle in range(len(ids) + 1):
+            region = ids[max(0, middle - reach):middle + reach].tolist()
+            if len(index.answers[k].intersection(region)) >= 0.5 * len(index.answers[k]) and \
+                    decontam.common_subsequence(index.masks[k], len(p), region) >= max(math.ceil(0.6 * len(p)), 8):
+                found.add(k)
+                break
+    return found
+
+
+def _latent_corpus(seed):
+    """Texts in which the words s<i> and t<i> are used for each other, items of the s words, and
+    paraphrases: synonyms for one word in four, sentences moved, one word in six replaced or left out."""
+    rng = random.Random(seed)
+    topics = [rng.sample(range(3000), 60) for _ in range(40)]
+
+    def text(n, both=True):
+        topic = rng.choice(topics)
+        return [(rng.choice("st") if both else "s") + str(rng.choice(topic) if rng.random() < 0.6 else rng.randrange(3000))
+                for _ in range(n)]
+
+    items = [text(n, both=False) for n in [9, 12, 15, 20, 24, 31, 37, 44, 50, 64] * 3]
+    rows, kinds = [], []
+    for k, item in enumerate(items):
+        swapped = [w.replace("s", "t") if rng.random() < 0.25 else w for w in item]
+        cut = len(item) // 4
+        moved = item[cut:] + item[:cut]
+        replaced = [w if rng.random() > 1 / 6 else "s" + str(rng.randrange(3000)) for w in item]
+        left_out = [w for w in item if rng.random() > 1 / 6]
+        for kind, words in (("synonym", swapped), ("moved", moved), ("replaced", replaced), ("left out", left_out)):
+            kinds.append((len(rows), k, kind))
+            rows.append(text(rng.randint(0, 150)) + words + text(rng.randint(0, 150)))
+    rows += [text(rng.randint(1, 300)) for _ in range(150)]
+    return items, [" ".join(r) for r in rows], kinds
+
+
+def test_decontamination_finds_what_an_exhaustive_search_finds(spark):
+    """At least 0.9 of all matches, and of each kind of paraphrase, and nothing else."""
+    items, rows, kinds = _latent_corpus(4)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, benchmark).collect()}
+    vocabulary = {w: i for i, w in enumerate(sorted({w.encode() for x in items for w in x}))}
+    clean = decontam._Clean(vocabulary)
+    ids = [clean.ids(r.encode()) for r in rows]
+    have = np.zeros(clean.size)
+    n = 0
+    for t in ids:
+        for at in range(0, len(t), decontam.PASSAGE):
+            have[np.unique(t[at:at + decontam.PASSAGE])] += 1
+            n += 1
+    idf = np.log((n + 1) / (have + 1)) + 0.01
+    index = decontam.Index(list(range(len(items))), [np.array([vocabulary[w.encode()] for w in x]) for x in items], idf,
+                           np.zeros((clean.size, 1)))
+    every = {(d, k) for d, t in enumerate(ids) for k in _exhaustive(index, t)}
+    assert got <= every and len(got) >= 0.9 * len(every)
+    for kind in {k for *_, k in kinds}:
+        mine = {(d, k) for d, k, x in kinds if x == kind} & every
+        assert len(mine) > 5 and len(mine & got) >= 0.9 * len(mine), kind
+
+
+def test_decontamination_of_short_items(spark):
+    """Under 8 words: all of them, one after the other, wherever they are."""
+    benchmark = spark.createDataFrame([(1, "Alpha, beta"), (2, "beta gamma delta beta."), (3, "omega"), (4, "..."),
+                                       (5, "beta alpha")], "item_id long, text string")
+    rows = [(1, "x alpha beta"), (2, "beta gamma delta beta gamma"), (3, "alpha x beta"), (4, "beta gamma delta"),
+            (5, "(Omega)"), (6, "alpha"), (7, "beta " * 100 + "alpha beta")]
+    got = decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, 1), (2, 2), (5, 3), (7, 1), (7, 5)}
+    assert {(r["cosine"], r["covered"], r["answer"]) for r in got} == {(1.0, 1.0, 1.0)}
+
+
 @given(st.lists(st.integers(0, 3), max_size=20), st.lists(st.integers(0, 3), max_size=20))
 @settings(max_examples=200, deadline=None)
 def test_common_subsequence(a, b):
