@@ -410,6 +410,51 @@ def test_sequences(docs):
         assert r["n_padding"] == (0 if r["n_ids"] & (r["n_ids"] - 1) == 0 else 2048 - r["n_ids"])
 
 
+def _language_slots(text):
+    folded = [c if c >= 128 else c | 32 if chr(c).isalpha() else 32 for c in text.encode()]
+    out = []
+    for order in lang_id.ORDERS:
+        for at in range(len(folded) - order + 1):
+            h = order * 0x9E3779B1 % 2**32
+            for c, factor in zip(folded[at:at + order], lang_id._MULTIPLIERS.tolist(), strict=False):
+                h = (h + c) * factor % 2**32
+                h ^= h >> 15
+            out.append(h >> 32 - lang_id.HASH_BITS)
+    return out
+
+
+def test_language_against_plain_python(spark, docs):
+    """Weights from counts of the first half of the learned rows, and the nearest
+    codeword of every text, by loops over n-grams."""
+    half = (F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0).alias("half")
+    rows = docs.select("doc_id", "text", "lang", half).collect()
+    slots = [_language_slots(r["text"] or "") for r in rows]
+    model = lang_id.fit(docs)
+    assert model.languages == sorted({r["lang"] for r in rows if r["lang"] and zlib.crc32(str(r["doc_id"]).encode()) % 5})
+    counts = np.full((len(model.languages), 1 << lang_id.HASH_BITS), 0.1)
+    for r, own in zip(rows, slots, strict=True):
+        if r["lang"] and r["half"] and zlib.crc32(str(r["doc_id"]).encode()) % 5:
+            np.add.at(counts[model.languages.index(r["lang"])], own, 1)
+    shares = counts / counts.sum(1, keepdims=True)
+    for b, weights in enumerate(model.weights):
+        odds = np.log(shares[model.code[:, b] > 0].mean(0) / shares[model.code[:, b] < 0].mean(0))
+        assert np.allclose(weights, np.clip(odds, -3, 3), atol=1e-3)
+    got = {r["doc_id"]: r for r in lang_id.identify(docs).collect()}
+    assert len(got) == len(rows)
+    for r, own in zip(rows, slots, strict=True):
+        found = got[r["doc_id"]]
+        assert found["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        if not any(c.isalpha() for c in r["text"] or ""):
+            assert (found["lang_pred"], found["score"]) == ("und", 0.0)
+            continue
+        votes = [sum(float(w[x]) for x in own) / max(len(own), 1) for w in model.weights]
+        losses = [sum(t * math.log1p(math.exp(-3 * c * v / s)) for t, c, v, s in zip(trust, code, votes, model.scale, strict=True))
+                  for trust, code in zip(model.trust.tolist(), model.code.tolist(), strict=True)]
+        weight = [math.exp(-4 * (x - min(losses))) for x in losses]
+        assert found["lang_pred"] == model.languages[losses.index(min(losses))]
+        assert found["score"] == pytest.approx(max(weight) / sum(weight), abs=1e-6)
+
+
 def test_language_held_out(spark):
     sf = "/root/testdata/sf0.1"
     df = table(spark, sf, "documents")
@@ -447,6 +492,89 @@ def test_grammar():
     assert clause("une vequaire") == 3.0 and clause("") == 0
 
 
+def _clause_scores(model, text):
+    """Every clause's score by the grammar's rules, from the places of its words;
+    words, hits and tokens of the text."""
+    tokens = toxicity._TOKENS.findall(text.lower())
+    clauses = [[]]
+    for w in tokens:
+        if w in ".!?;\n":
+            clauses.append([])
+        else:
+            clauses[-1].append(w)
+    scores, hits = [], 0
+    for words in clauses:
+        kind, weight = [], []
+        for w in words:
+            learned = max((model.insults.get(t, 0.0) for t in [w] + [w[:k] + "*" for k in (4, 5, 6) if len(w) > k]))
+            closed = [c for c, members in toxicity.CLOSED.items() if w in members]
+            kind.append("hit" if learned else closed[0] if closed else None)
+            weight.append(learned or toxicity.THREAT_WEIGHT)
+        target, threat = -9, -9   # the last target, the last threat that waits for one
+        for i, x in enumerate(list(kind)):
+            if x == toxicity.THREAT:
+                kind[i], threat = ("hit", -9) if i - target <= 4 else (None, i)
+            elif x == toxicity.TARGET:
+                kind[i] = "hit" if i - threat <= 4 else x
+                target, threat = i, -9
+        score = 0.0
+        for i in [i for i, x in enumerate(kind) if x == "hit"]:
+            hits += 1
+            score += (weight[i] * (toxicity.NEAR_TARGET if toxicity.TARGET in kind[max(0, i - 4):i] else 1)
+                      * (toxicity.NEGATED if toxicity.NEGATE in kind[max(0, i - 3):i] else 1)
+                      * (toxicity.REPORTED if toxicity.REPORT in kind[:i] else 1))
+        scores.append(score)
+    return scores, hits, len(tokens)
+
+
+def _brute_features(model, text):
+    scores, hits, n = _clause_scores(model, text)
+    return [1.0, max(scores), math.log1p(sum(scores)), math.log1p(100 * hits / n) if n else 0.0]
+
+
+def test_toxicity_scores(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = toxicity.fit(docs, labels)
+    assert model.insults
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    rows = toxicity.assess(docs, labels).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        x = _brute_features(model, texts[r["doc_id"]])
+        assert r["clause_score"] == pytest.approx(x[1], abs=1e-9)
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-float(np.dot(x, model.coefficients)))), abs=1e-9)
+        assert r["predicted"] == int(r["score"] >= 0.5)
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+def test_grammar_of_random_words(monkeypatch):
+    rng = random.Random(4)
+    model = toxicity.Model({"moron": 4.0, "vequ*": 3.0}, None)
+    words = ["moron", "vequaire", "kill", "you", "not", "said", "a", "tree", "runs", ".", "them"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 60))) for _ in range(1500)]
+    whole = [model.features(t) for t in texts]
+    for t, x in zip(texts, whole, strict=True):
+        assert x == pytest.approx(_brute_features(model, t))
+    # a clause goes on over the blocks of a long text
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    assert [model.features(t) for t in texts] == whole
+
+
+def test_toxicity_learns_all_terms(spark):
+    """21,000 different insults: none is left out."""
+    rng = random.Random(3)
+    spelled = ["".join("abcdefghij"[int(c)] for c in f"{i:05d}") for i in range(21_000)]
+    toxic = [" ".join(rng.sample(group, len(group))) for group in ([f"q{w}" for w in spelled[k::100]] for k in range(100))
+             for _ in range(36)]
+    clean = [" ".join(f"z{w}" for w in rng.sample(spelled, 40)) for _ in toxic]
+    rows = [(2 * i + kind, text) for kind, texts in enumerate((clean, toxic)) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, docs.selectExpr("doc_id", "int(doc_id % 2) AS toxic"))
+    learned = {w for w in model.insults if not w.endswith("*")}
+    assert len(learned) > 20_500 and learned <= {f"q{w}" for w in spelled}
+
+
 def test_urls_nested(spark):
     rng = random.Random(5)
     labels = ["a", "b", "ab", "c"]

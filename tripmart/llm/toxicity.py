@@ -12,15 +12,18 @@ Learning reads a bounded sample: about ``rows_per_class`` labelled rows of each
 label, chosen by a hash of the id, whole texts, near copies of each other left
 out (three minimum hashes of their five-word runs) so that a much copied text
 counts once. Three quarters give the insults: words, and stems of 4 to 6 letters,
-whose log-odds for label 1, less 1.5 standard errors, are 1 or more (at most
-``most_terms``). The others fit the logistic function.
+whose log-odds for label 1, less 1.5 standard errors, are 1 or more; all of them,
+the sample bounds their number. The others fit the logistic function.
 
 Scoring is a map over all documents with no shuffle. Inputs are texts alone.
 
 Defined cases: null and empty texts have no clause and get the base score;
 without labelled rows of both labels every score is 0; labels that are null or
 of unknown documents are left out, a document labelled twice counts as toxic if
-any label says so; repeated rows get equal rows; further columns are left out.
+any label says so; of equal or nearly equal sampled texts one is learned from;
+repeated rows get equal rows; further columns are left out; an empty documents
+table gives no row. Very long texts are read whole, about 4 million characters at
+a time up to the end of a word, and a clause goes on from one block to the next.
 """
 
 from __future__ import annotations
@@ -57,6 +60,7 @@ THREAT_WEIGHT = 2.0
 
 _TOKENS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?;\n]")
 _CLAUSE_END = frozenset(".!?;\n")
+_GAP = re.compile(r"\s")
 
 
 # A transducer: its start state, and step(state, symbol) -> (state, output, factor).
@@ -138,13 +142,13 @@ class Model:
     def features(self, text: str) -> list[float]:
         """Largest clause score, log of their sum, hits per word (log)."""
         most = total = 0.0
-        hits = n = 0
+        hits = n = state = 0
+        clause = 0.0
         for block in _blocks(text):
             tokens = _TOKENS.findall(block)
             n += len(tokens)
-            if not any(self.terminal(w)[0] <= THREAT for w in set(tokens)):
+            if len(text) <= BLOCK and not any(self.terminal(w)[0] <= THREAT for w in set(tokens)):
                 continue
-            state, clause = 0, 0.0
             for w in tokens:
                 if w in _CLAUSE_END:
                     most, total, state, clause = max(most, clause), total + clause, 0, 0.0
@@ -154,7 +158,7 @@ class Model:
                 if factor:
                     hits += 1
                     clause += factor * (weight or THREAT_WEIGHT)
-            most, total = max(most, clause), total + clause
+        most, total = max(most, clause), total + clause
         return [1.0, most, float(np.log1p(total)), float(np.log1p(100 * hits / n)) if n else 0.0]
 
 
@@ -163,14 +167,12 @@ def terms(word: str) -> list[str]:
 
 
 def _blocks(text: str) -> Iterator[str]:
-    """Lower-case text, at most about 4 million characters at a time, cut at a
-    line's end or a space where there is one."""
+    """Lower-case text, about 4 million characters at a time; a block ends where
+    a word does."""
     at = 0
     while at < len(text):
-        end = min(len(text), at + BLOCK)
-        if end < len(text):
-            cut = max(text.rfind("\n", at, end), text.rfind(" ", at, end))
-            end = cut + 1 if cut > at else end
+        gap = _GAP.search(text, at + BLOCK)
+        end = gap.end() if gap else len(text)
         yield text[at:end].lower()
         at = end
 
@@ -214,8 +216,7 @@ def _sample(docs: DataFrame, labels: DataFrame, modulus: int, rows_per_class: in
     return written(rows.select("first", "toxic", "text"), "toxicity-sample"), sizes
 
 
-def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, rows_per_class: int = 12_000,
-        most_terms: int = 20_000) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, rows_per_class: int = 12_000) -> Model | None:
     """Learn from labelled rows whose fold is not 0; None unless both labels occur."""
     sample, sizes = _sample(docs, labels, modulus, rows_per_class)
     if len(sizes) < 2:
@@ -250,7 +251,8 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 5, rows_per_class: in
     counted = first.select("toxic", "text").mapInArrow(count, "term string, clean long, toxic long") \
         .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")) \
         .where("toxic >= 4").withColumn("weight", odds).where("weight >= 1")
-    insults = {r["term"]: r["weight"] for r in counted.orderBy(F.desc("weight"), "term").limit(most_terms).collect()}
+    # terms of four or more texts of the bounded sample
+    insults = {r["term"]: r["weight"] for r in counted.collect()}
     model = Model(insults, None)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
