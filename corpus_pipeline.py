@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's docs. All but the last return the
 columns of documents.
+
+Defined cases: null and empty texts, and texts without a letter, go in the first
+stage; null doc_ids, other null columns and further columns stay; repeated rows
+lose the same lines and one of them stays as the first of its class; an empty
+documents table gives empty results, an empty benchmark removes nothing.
 """
 
 from __future__ import annotations
