@@ -17,7 +17,9 @@ is where texts are split, so the ids are those of the whole text.
 
 Defined cases: a null text is empty; an empty document is the closing id alone;
 repeated rows are packed as often as they come; a null doc_id is kept; further
-columns are left out. An empty table gives no pieces.
+columns are left out. An empty table gives no pieces. A very long text is cut into
+pieces like any other; pieces of one length are ranked by doc_id, start and the
+checksum of their ids, so only equal pieces tie.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ Everything is a map over the documents, with no shuffle; a text is read whole,
 its words a megabyte at a time.
 
 Defined cases: a null or empty text has no words and fails; equal rows get
-equal rows; null doc_ids are kept; further columns are left out by ``judge``.
+equal rows; null doc_ids are kept; further columns are left out by ``judge``; an
+empty table gives no row. Each document is judged alone, so there are no ties.
 """
 
 from __future__ import annotations

@@ -32,7 +32,7 @@ texts, taken in blocks of half a million positions.
 Defined cases: null texts are empty; texts under 100 bytes lose nothing; equal
 rows (same doc_id and text) are one document, neither is earlier; of different
 texts with one doc_id, the one with the smaller hash is earlier; null doc_ids
-come first; further columns are left out.
+come first; further columns are left out; an empty table gives no row.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ Defined cases: a url that is null or has no ``://`` has an empty host and path,
 which no rule fits. Host letters A-Z are lower-cased, in rules too; a rule
 without ``/`` has an empty path, which every path starts with. Rules that are
 null are left out; of equal rules with both verdicts, block wins. Repeated pages
-each get their row; null page_ids are kept; further columns are left out.
+each get their row; null page_ids are kept; further columns are left out. An empty
+pages table gives no row; without rules every page gets the default verdict.
 """
 
 from __future__ import annotations
