@@ -492,6 +492,12 @@ def test_grammar():
     assert clause("une vequaire") == 3.0 and clause("") == 0
 
 
+def test_latent_vectors_lie_row_after_row():
+    project = np.asfortranarray(np.random.default_rng(1).standard_normal((50, 6)))
+    index = decontam.Index([7], [np.arange(10, dtype=np.int32)], np.ones(50), project)
+    assert index.project.flags.c_contiguous and index.project.shape == (51, 6)
+
+
 def _clause_scores(model, text):
     """Every clause's score by the grammar's rules, from the places of its words;
     words, hits and tokens of the text."""
