@@ -283,6 +283,31 @@ def test_decontamination_finds_what_an_exhaustive_search_finds(spark):
         assert len(mine) > 5 and len(mine & got) >= 0.9 * len(mine), kind
 
 
+def test_decontamination_learns_from_every_passage(spark, monkeypatch):
+    """The singular values are those of the TF-IDF rows of the items and of all passages, however many."""
+    seen = {}
+
+    def svd(rows, idf, *rest, svd=decontam.randomised_svd):
+        seen["rows"], seen["idf"], seen["got"] = [r[0] for r in rows.collect()], idf, svd(rows, idf, *rest)
+        return seen["got"]
+
+    monkeypatch.setattr(decontam, "randomised_svd", svd)
+    docs = spark.range(30_000).selectExpr(
+        "id AS doc_id", "concat('a', id % 7, ' b', id % 11, ' c', id % 13, if(id % 5 = 0, repeat(' d', 70), ' a1 a1')) AS text")
+    benchmark = spark.createDataFrame([(1, "a1 b2 c3 a1 b5 c6 a4 b7 c8 nowhere")], "item_id long, text string")
+    decontam.contaminated(docs, benchmark).collect()
+    passages = [ids[at:at + 64] for ids in (np.frombuffer(bytes(x), np.int32) for x in seen["rows"])
+                for at in range(0, len(ids), 64)]
+    assert len(passages) == 30_000 + 6_000 + 1
+    used = np.unique(np.concatenate(passages))
+    rows = np.array([np.bincount(np.searchsorted(used, x), minlength=len(used)) for x in passages]) * seen["idf"][used]
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    exact = np.linalg.svd(rows, compute_uv=False)
+    basis, values = seen["got"]
+    assert np.allclose(values[:10], exact[:10], rtol=1e-3)
+    assert np.allclose(np.linalg.norm(rows @ basis[used][:, :10], axis=0), exact[:10], rtol=1e-3)
+
+
 def test_decontamination_of_short_items(spark):
     """Under 8 words: all of them, one after the other, wherever they are."""
     benchmark = spark.createDataFrame([(1, "Alpha, beta"), (2, "beta gamma delta beta."), (3, "omega"), (4, "..."),

@@ -6,12 +6,13 @@ own, every other word that of one of 2^14 hashed buckets, so each word of the
 corpus has a weight and a place in the latent space. An item of more than 64
 words counts as its passages of 64 words, 32 apart.
 
-1. Document frequencies of the ids over all passages of all documents.
-2. Randomised SVD of the TF-IDF matrix of the items and a bounded sample of
-   passages (``sample_passages``, by a hash of the text): power iterations
-   A'(A Q), each a Spark job over the sample, with only an ids x rank matrix
-   coming back. Passages are folded in: their weights times the singular
-   vectors, each over its singular value.
+1. Each text's ids are written, once; the document frequencies of the ids are
+   counted over all passages of all documents.
+2. Randomised SVD of the TF-IDF matrix of the items and all passages of all
+   documents: power iterations A'(A Q), each a Spark job over all of the ids, with
+   only an ids x rank matrix coming back; they start at the items' own leading
+   directions. Passages are folded in: their weights times the singular vectors,
+   each over its singular value.
 3. Cosine candidate search: windows of 8, 16, 32 and 64 words, a quarter of their
    width apart, are projected and multiplied with all items that are nearest to
    that width. Every window of every document meets every such item; what comes
@@ -25,8 +26,8 @@ Items of fewer than 8 words are too short for a paraphrase to be told from chanc
 they match where all their words follow each other (cosine, covered, answer: 1).
 
 The benchmark is taken in blocks of ``block_items`` items, so what travels with
-a pass is bounded; documents are mapped over with no shuffle, whole texts in
-blocks of 1 MB that share their edges.
+a pass is bounded; documents are mapped over with no shuffle, long texts in
+blocks that share their edges. The ids of one block of items are on disk at a time.
 
 Defined cases: null and empty texts match nothing; items that are null or have no
 word match nothing; equal items are all reported; repeated rows each are; of equal
@@ -44,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import as_array, bytes_of, discard, mix, row_key, text_blocks, unit_hash, written
+from tripmart.llm.common import as_array, bytes_of, discard, row_key, text_blocks, written
 
 PASSAGE = 64
 WIDTHS = (8, 16, 32, 64)
@@ -54,8 +55,11 @@ ANSWER = 0.5
 RANK = 96
 SHORT = 8
 BUCKETS = 1 << 14
-PART = 1 << 12
+PART = 1 << 10
 GATHER = 1 << 15
+BLOCK = 1 << 17
+PASSAGE_ROWS = 1 << 11
+FREQUENT = 1 << 9
 ROWS = 1 << 10
 SCORES = 1 << 21
 
@@ -99,15 +103,6 @@ class _Clean:
         clean = _words(text)
         return np.fromiter(map(self.ids_of.__getitem__, clean), np.int32, len(clean))
 
-    def blocks(self, raw: np.ndarray, start: int, end: int, edge: int = 0) -> Iterator[np.ndarray]:
-        """A text's ids, about 1 MB of text at a time, each block but the first
-        with the last ``edge`` ids of the one before."""
-        before = np.empty(0, np.int32)
-        for text in text_blocks(raw, start, end):
-            ids = np.concatenate([before, self.ids(text)])
-            yield ids
-            before = ids[-edge:] if edge else before
-
 
 def _passages(n: int, width: int, step: int) -> np.ndarray:
     """Starts of the windows over n words; the last one ends with the text."""
@@ -127,92 +122,149 @@ def common_subsequence(masks: dict[int, int], n: int, ids: list[int]) -> int:
     return n - rest.bit_count()
 
 
-def _frequencies(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
-    """Passages that have each id, and all passages."""
+def _tokenised(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
+    """Written: doc_id and ids (32-bit numbers) of each text with a word; and, in rows
+    of their own, word and n, the passages that have each id (after the last id: all
+    passages), as far as each task has counted them."""
     size = len(vocabulary) + BUCKETS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clean = _Clean(vocabulary)
         have = np.zeros(size + 1, np.int64)
-        keys, n_words, n_passages = [], 0, 0
+        n_passages = 0
 
-        def count() -> None:
-            if keys:
-                have[:size] += np.bincount(np.unique(np.concatenate(keys)) % size, minlength=size)
+        def out(doc_id: pa.Array, ids: list[bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([doc_id, pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.int32()),
+                                               pa.nulls(len(ids), pa.int64())], ["doc_id", "ids", "word", "n"])
 
         for batch in batches:
-            raw, off = bytes_of(as_array(batch.column(0)))
+            raw, off = bytes_of(as_array(batch.column(1)))
+            rows, texts, n_bytes = [], [], 0
             for i in range(batch.num_rows):
-                for ids in clean.blocks(raw, off[i], off[i + 1]):
-                    keys.append((n_passages + np.arange(len(ids)) // PASSAGE) * size + ids)
-                    n_passages += -(-len(ids) // PASSAGE)
-                    n_words += len(ids)
-                    if n_words >= GATHER:
-                        count()
-                        keys, n_words = [], 0
-        count()
+                ids = [clean.ids(text).tobytes() for text in text_blocks(raw, off[i], off[i + 1])]
+                ids = b"".join(ids)
+                if ids:
+                    rows.append(i)
+                    texts.append(ids)
+                    n_bytes += len(ids)
+                if texts and (n_bytes >= 8 * GATHER or i == batch.num_rows - 1):
+                    part = pa.array(texts, pa.binary())
+                    for words in _passage_rows(part, size):
+                        have += np.bincount(words[_firsts(words)], minlength=size + 1)
+                        n_passages += len(words)
+                    yield out(batch.column(0).take(pa.array(rows, pa.int64())), texts)
+                    rows, texts, n_bytes = [], [], 0
         have[size] = n_passages
         word = np.flatnonzero(have)
-        yield pa.RecordBatch.from_arrays([pa.array(word, pa.int32()), pa.array(have[word])], ["word", "n"])
-
-    got = docs.select("text").mapInArrow(run, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(word), pa.int64()), pa.nulls(len(word), pa.binary()),
+                                          pa.array(word, pa.int32()), pa.array(have[word])], ["doc_id", "ids", "word", "n"])
+
+    return written(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, word int, n long"), "word-ids")
+
+
+def _passage_rows(texts: pa.Array, pad: int) -> Iterator[np.ndarray]:
+    """The passages of texts, given as their ids: PASSAGE_ROWS at a time, the words of
+    each in order of id, ``pad`` after them."""
+    raw, off = bytes_of(texts)
+    ids = raw[off[0]:off[-1]].view(np.int32)
+    start, n_words = (off[:-1] - off[0]) // 4, np.diff(off) // 4
+    n = -(-n_words // PASSAGE)
+    text = np.repeat(np.arange(len(n)), n)
+    skipped = (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * PASSAGE
+    first, left = start[text] + skipped, n_words[text] - skipped
+    place = np.arange(PASSAGE)
+    for at in range(0, len(text), PASSAGE_ROWS):
+        words = ids[np.minimum(first[at:at + PASSAGE_ROWS, None] + place, len(ids) - 1)]
+        words[place >= left[at:at + PASSAGE_ROWS, None]] = pad
+        words.sort(axis=1)
+        yield words
+
+
+def _firsts(words: np.ndarray) -> np.ndarray:
+    """Where the words of passages, in order of id, are the first of their id."""
+    first = np.ones(words.shape, bool)
+    np.not_equal(words[:, 1:], words[:, :-1], out=first[:, 1:])
+    return first
+
+
+def _frequencies(tokens: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """Passages that have each id, and all passages."""
     have = np.zeros(size + 1, np.int64)
-    for r in got:
+    for r in tokens.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n")).collect():
         have[r["word"]] = r["n"]
     return have[:-1], int(have[-1])
 
 
-def _sampled(docs: DataFrame, vocabulary: dict[bytes, int], share: float, items: list[np.ndarray]) -> DataFrame:
-    """ids of the sampled passages, and of the items, as a small written table.
-    A passage is drawn by its block's text and its place, wherever its row is."""
-    of_docs = min(1.0, 8 * share)
-    of_passages = share / of_docs
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        clean = _Clean(vocabulary)
-        for batch in batches:
-            raw, off = bytes_of(as_array(batch.column(0)))
-            out = []
-            for i in range(batch.num_rows):
-                for ids in clean.blocks(raw, off[i], off[i + 1]):
-                    at = np.arange(0, len(ids), PASSAGE)
-                    drawn = mix(np.uint64(xxhash.xxh3_64_intdigest(ids.tobytes())) ^ at.astype(np.uint64))
-                    for k in at[drawn / 2.0 ** 64 < of_passages].tolist():
-                        out.append(ids[k:k + PASSAGE].tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32()))], ["ids"])
-
-    some = docs.where(unit_hash(F.lit("passages"), "text") < of_docs).select("text").mapInArrow(run, "ids array<int>")
-    own = docs.sparkSession.createDataFrame([([int(x) for x in i],) for i in items], "ids array<int>")
-    return written(some.union(own).repartition(8), "svd-sample")
-
-
-def randomised_svd(rows: DataFrame, idf: np.ndarray, rank: int = RANK,
+def _directions(words: np.ndarray, idf: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(passages x rank, squared lengths): the TF-IDF rows of passages times q. idf and
+    q, whose rows hold the idf already, have a row of zeros for the filling."""
+    at = np.flatnonzero(_firsts(words))
+    weight = np.diff(at, append=words.size) * idf[words.ravel()[at]]
+    square = np.add.reduceat(weight * weight, np.searchsorted(at, np.arange(len(words)) * PASSAGE))
+    out = np.zeros((len(words), q.shape[1]), q.dtype)
+    for row in np.ascontiguousarray(words.T):
+        out += np.take(q, row, axis=0, mode="clip")
+    return out, np.maximum(square, 1e-24)
+
+
+def _add_rows(total: np.ndarray, words: np.ndarray, rows: np.ndarray) -> None:
+    """Add the row of each passage to total once for each of its words. Frequent words,
+    which have the least ids, go in one product; of each other word the first places go
+    in one step, then the second ones, and so on."""
+    n = min(FREQUENT, len(total) - 1)
+    counts = np.bincount((np.arange(len(words))[:, None] * (n + 1) + np.minimum(words, n)).ravel(),
+                         minlength=len(words) * (n + 1)).reshape(len(words), n + 1)
+    total[:n] += counts[:, :n].T.astype(rows.dtype) @ rows
+    flat = words.ravel()
+    rest = np.flatnonzero((flat >= n) & (flat < len(total) - 1))
+    rest = rest[np.argsort(flat[rest].astype(np.uint16) if len(total) <= 1 << 16 else flat[rest], kind="stable")]
+    if not len(rest):
+        return
+    word, passage = flat[rest], rest // PASSAGE
+    first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+    count = np.diff(first, append=len(word))
+    order = np.argsort(-count, kind="stable")
+    first, count = first[order], count[order]
+    sums = np.zeros((len(first), rows.shape[1]), rows.dtype)
+    for nth in range(count[0]):
+        live = np.searchsorted(-count, -nth, "left")
+        sums[:live] += np.take(rows, passage[first[:live] + nth], axis=0, mode="clip")
+    total[word[first]] += sums
+
+
+def _filled(x: np.ndarray) -> np.ndarray:
+    """With a last row of zeros, for the filling of passages; row after row."""
+    return np.ascontiguousarray(np.concatenate([x, np.zeros((1, *x.shape[1:]))]), np.float32)
+
+
+def randomised_svd(rows: DataFrame, idf: np.ndarray, start: np.ndarray,
                    powers: int = 2) -> tuple[np.ndarray, np.ndarray]:
-    """ids x rank, rank: the leading right singular vectors of the TF-IDF rows
-    (each scaled to length 1) and the singular values, largest first."""
-    rank = max(1, min(rank, len(idf)))
-    q = np.linalg.qr(np.random.default_rng(11).standard_normal((len(idf), rank)))[0]
+    """ids x rank, rank: the leading right singular vectors of the TF-IDF rows of all
+    passages (each scaled to length 1) of the texts, whose ids rows has, and the
+    singular values, largest first. start: ids x rank, where the iterations start."""
+    size, rank = start.shape
+    by_idf = np.argsort(idf, kind="stable")  # the most frequent ids first
+    renamed = np.append(np.argsort(by_idf, kind="stable"), size).astype(np.int32)
+    weights = idf[by_idf]
 
     def times(q: np.ndarray, gram: bool) -> np.ndarray:
-        shared = rows.sparkSession.sparkContext.broadcast(q)
+        shared = rows.sparkSession.sparkContext.broadcast(_filled(weights[:, None] * q))
+        filled = _filled(weights)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             q = shared.value
-            total = np.zeros((q.shape[1], q.shape[1]) if gram else q.shape)
+            total = np.zeros((rank, rank) if gram else q.shape)
             for batch in batches:
-                for ids in batch.column(0).to_pylist():
-                    if not ids:
-                        continue
-                    word, tf = np.unique(ids, return_counts=True)
-                    w = tf * idf[word]
-                    w /= max(np.linalg.norm(w), 1e-12)
-                    y = w @ q[word]
+                for words in _passage_rows(as_array(batch.column(0)), size):
+                    words = np.sort(renamed[words], axis=1)
+                    y, square = _directions(words, filled, q)
                     if gram:
-                        total += np.outer(y, y)
+                        y /= np.sqrt(square)[:, None]
+                        total += y.T @ y
                     else:
-                        total[word] += np.outer(w, y)
+                        _add_rows(total, words, y / square[:, None].astype(q.dtype))
+            if not gram:
+                total = total[:-1] * weights[:, None]
             parts = [total[at:at + PART].astype(np.float32).tobytes() for at in range(0, len(total), PART)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())],
                                              ["at", "part"])
@@ -227,11 +279,29 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray, rank: int = RANK,
         out = np.concatenate([np.frombuffer(r["part"]) for r in sorted(parts, key=lambda r: r["at"])])
         return out.reshape((rank, rank) if gram else q.shape)
 
-    for _ in range(powers + 1):
+    q = np.linalg.qr(start[by_idf])[0]
+    for _ in range(powers):
         q = np.linalg.qr(times(q, gram=False))[0]
     value, turn = np.linalg.eigh(times(q, gram=True))
     order = np.argsort(-value)
-    return q @ turn[:, order], np.sqrt(np.maximum(value[order], 0.0))
+    return (q @ turn[:, order])[renamed[:-1]], np.sqrt(np.maximum(value[order], 0.0))
+
+
+def _start(passages: list[np.ndarray], idf: np.ndarray, rank: int = RANK) -> np.ndarray:
+    """ids x rank: the range of the items' TF-IDF rows, and random directions in it for
+    the ids that no item has."""
+    rank = max(1, min(rank, len(idf)))
+    out = np.linalg.qr(np.random.default_rng(11).standard_normal((len(idf), rank)))[0]
+    filled = _filled(idf)
+    texts = pa.array([p.astype(np.int32).tobytes() for p in passages], pa.binary())
+    for _ in range(2):
+        total = np.zeros((len(idf) + 1, rank))
+        for words in _passage_rows(texts, len(idf)):
+            y, square = _directions(words, filled, _filled(idf[:, None] * out))
+            _add_rows(total, words, y / square[:, None])
+        total = total[:-1] * idf[:, None]
+        out = out + total * (math.sqrt(rank) / max(np.linalg.norm(total), 1e-12))
+    return out
 
 
 class Index:
@@ -343,8 +413,7 @@ class Index:
                     yield t, k, min(cosine, 1.0), covered / len(p), found
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, sample_passages: int = 20_000,
-                 block_items: int = 5_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, block_items: int = 5_000) -> DataFrame:
     """doc_id, item_id, cosine, covered, answer: the best match of each document
     and item that passes. docs and benchmark may have further columns."""
     schema = "doc_id long, item_id long, cosine double, covered double, answer double"
@@ -355,7 +424,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, sample_passages: int = 2
     n_blocks = -(-items.count() // block_items)
     for block in range(n_blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        out = out.union(_search(docs, mine.collect(), sample_passages, schema))
+        out = out.union(_search(docs, mine.collect(), schema))
     return out
 
 
@@ -369,7 +438,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return packed.join(leaks, F.col("__key") == F.col("__leak"), "left_anti").select("__row.*")
 
 
-def _search(docs: DataFrame, items: list, sample_passages: int, schema: str) -> DataFrame:
+def _search(docs: DataFrame, items: list, schema: str) -> DataFrame:
     spark = docs.sparkSession
     listed = [(r["item_id"], _words(r["text"].encode())) for r in items]
     listed = sorted(((k, w) for k, w in listed if w), key=lambda x: (x[0] is None, x))
@@ -382,35 +451,36 @@ def _search(docs: DataFrame, items: list, sample_passages: int, schema: str) ->
         for at in _passages(len(ids), PASSAGE, PASSAGE // 2):
             item_ids.append(k)
             passages.append(ids[at:at + PASSAGE])
-    have, n = _frequencies(docs, vocabulary)
+    tokens = _tokenised(docs, vocabulary)
+    have, n = _frequencies(tokens, len(vocabulary) + BUCKETS)
     idf = np.log((n + 1) / (have + 1)) + 0.01
-    rows = _sampled(docs, vocabulary, min(1.0, sample_passages / max(n, 1)), passages)
-    basis, values = randomised_svd(rows, idf)
-    discard(rows)
+    texts = tokens.where("ids IS NOT NULL").select("doc_id", "ids")
+    own = spark.createDataFrame([(p.tobytes(),) for p in passages], "ids binary")
+    basis, values = randomised_svd(texts.select("ids").union(own.coalesce(1)), idf, _start(passages, idf))
     used = values > 1e-6 * values[0]
     index = Index(item_ids, passages, idf, idf[:, None] * basis[:, used] / values[used])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean = _Clean(vocabulary)
         for batch in batches:
             raw, off = bytes_of(as_array(batch.column(1)))
             doc_ids = batch.column(0).to_pylist()
             best: dict = {}
-            texts, rows_of, n_words = [], [], 0
+            blocks, rows_of, n_words = [], [], 0
 
             def search() -> None:
-                for t, passage, *scores in index.search(texts) if texts else ():
+                for t, passage, *scores in index.search(blocks) if blocks else ():
                     key = rows_of[t], index.item_ids[passage]
                     best[key] = max(best.get(key, scores), scores, key=lambda s: (s[1], s[0]))
 
             for i in range(batch.num_rows):
-                for ids in clean.blocks(raw, off[i], off[i + 1], 2 * PASSAGE):
-                    texts.append(ids)
+                ids = raw[off[i]:off[i + 1]].view(np.int32)
+                for at in range(0, len(ids), BLOCK):
+                    blocks.append(ids[max(0, at - 2 * PASSAGE):at + BLOCK])
                     rows_of.append(i)
-                    n_words += len(ids)
+                    n_words += len(blocks[-1])
                     if n_words >= GATHER:
                         search()
-                        texts, rows_of, n_words = [], [], 0
+                        blocks, rows_of, n_words = [], [], 0
             search()
             found = [(doc_ids[i], item, *scores) for (i, item), scores in best.items()]
             columns = list(zip(*found, strict=True)) or [[]] * 5
@@ -419,4 +489,6 @@ def _search(docs: DataFrame, items: list, sample_passages: int, schema: str) ->
                  *[pa.array(c, pa.float64()) for c in columns[2:]]],
                 ["doc_id", "item_id", "cosine", "covered", "answer"])
 
-    return docs.mapInArrow(run, schema)
+    found = written(texts.mapInArrow(run, schema), "found")
+    discard(tokens)
+    return found
