@@ -132,3 +132,29 @@ def test_star_readers_and_writers(spark, tmp_path):
     with pytest.raises(V.Conflict):
         V.commit(spark, path, base, late, whole=True)
     assert T.table_exists(spark, path) and G.read_star(spark, path, star.settings, base).fct.count() == n
+
+
+def test_compaction_query_deals_the_fact_to_more_tasks_as_it_grows(spark, monkeypatch):
+    """Beyond SMALL_FILE_TRIPS trips a task: the rows that one task takes stay bounded."""
+    from tripmart.plans import catalog
+
+    written = []
+
+    def write(df, *args, write=V.write, **how):
+        written.append(write(df, *args, **how))
+        return written[-1]
+
+    monkeypatch.setattr(V, "write", write)
+    monkeypatch.setattr(catalog, "SMALL_FILE_TRIPS", 500)
+    rows = catalog.fact_compaction(spark, "/root/testdata/sf0.001").collect()
+    assert max(p["files"] for p in written[0].values()) > 6
+    assert {r["files"] for r in rows} == {1} and sum(r["trips"] for r in rows) == sum(p["rows"] for p in written[0].values())
+
+
+def test_partitions_of_files_are_cut_without_a_pattern(spark, tmp_path):
+    """Of several levels, with nulls, and of a table without partitions."""
+    df = spark.createDataFrame([(1, "a", "x"), (2, None, "y"), (3, "a", "x")], "id int, p string, q string")
+    parts = V.write(df, str(tmp_path), "t", partition_by=("p", "q"))
+    assert {k: p["rows"] for k, p in parts.items()} == {"t/p=a/q=x": 2, "t/p=__HIVE_DEFAULT_PARTITION__/q=y": 1}
+    assert V.write(df, str(tmp_path), "u")["u"]["rows"] == 3
+    assert "regexp" not in str(V._partition(2))

@@ -31,6 +31,8 @@ from tripmart.sources import landing as L
 from tripmart.sources import tables as T
 from tripmart.sources import versioned as V
 
+# trips that a task of fact_compaction writes as small files
+SMALL_FILE_TRIPS = 2_000_000
 # integer columns the adapter lands as float or int (trip_type is not landed)
 REPAIRED = ("vendorid", "passenger_count", "pulocationid", "dolocationid", "ratecodeid",
             "payment_type")
@@ -405,7 +407,10 @@ def fact_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     their bytes ask for: trips, revenue and files of each month, as committed."""
     fct = layers(spark, sf_dir).star.fct
     path = new_table_path(spark, "fact_compaction")
-    small = V.write(fct.repartition(6, "trip_key"), path, "fct_trips", partition_by=("pickup_month",))
+    # six files a month, and more where a task would have more than two million trips
+    trips = fixtures.read_table(spark, sf_dir, "lineitem").count()
+    dealt = fct.repartition(max(6, -(-trips // SMALL_FILE_TRIPS)), "trip_key")
+    small = V.write(dealt, path, "fct_trips", partition_by=("pickup_month",))
     V.commit(spark, path, V.latest(spark, path), small, info=V.schema_info(fct_trips=fct.schema))
     V.compact(spark, path, "fct_trips", ["pickup_month"])
     version = V.latest(spark, path)

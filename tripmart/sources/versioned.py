@@ -160,8 +160,7 @@ def write(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = ()
     measures = measures or {}
     rows = spark.read.schema(df.schema).parquet(base)
     # counted from the footers, unless a measure reads a column
-    partition = F.regexp_extract("_metadata.file_path", rf"/{RUN}={run}/(?:(.*)/)?[^/]*$", 1)
-    found = rows.groupBy(partition.alias("partition")).agg(
+    found = rows.groupBy(_partition(len(partition_by)).alias("partition")).agg(
         F.count(F.lit(1)).alias("rows"), *[m.alias(k) for k, m in measures.items()]).collect()
     sizes = _sizes(spark, base)
     parts = {}
@@ -175,6 +174,14 @@ def write(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = ()
     return parts
 
 
+def _partition(levels: int) -> Column:
+    """The partition folder, of so many levels, of the file that a row comes from. Cut
+    out without a pattern, as this is done for every row."""
+    if not levels:
+        return F.lit("")
+    return F.substring_index(F.substring_index("_metadata.file_path", "/", -levels - 1), "/", levels)
+
+
 def _sizes(spark: SparkSession, base: str) -> dict[str, tuple[int, int]]:
     """Files and bytes by partition folder, listed by Spark."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet") \
@@ -197,12 +204,19 @@ def compact(spark: SparkSession, root: str, table: str, partition_by: Sequence[s
         return {}
     rows = read(spark, root, table, base, keys=small)
     # which part a row belongs to is in the path of the file that it comes from
-    path = F.regexp_extract("_metadata.file_path", rf"/{RUN}=[^/]*/(.*)/[^/]*$", 1)
-    counts = F.create_map(*[F.lit(x) for k in small for x in (k.split("/", 1)[1], files[k])])
-    dealt = rows.withColumn("_file", F.pmod(F.xxhash64(*[f"`{c}`" for c in rows.columns]), counts[path]))
+    large = [x for k in small if files[k] > 1 for x in (k.split("/", 1)[1], files[k])]
+    file = F.lit(0).cast("long")
+    if large:  # the other parts become one file
+        counts = F.create_map(*[F.lit(x) for x in large])
+        file = F.pmod(F.xxhash64(*[f"`{c}`" for c in rows.columns]),
+                      F.coalesce(F.try_element_at(counts, _partition(len(partition_by))), F.lit(1)))
+    dealt = rows.withColumn("_file", file)
+    # many files: a task writes about one, however many there are
+    n_files = sum(files[k] for k in small)
+    tasks = [2 * n_files] if 2 * n_files > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
     # two files of a part that meet in one task are cut there; hashing is even to a quarter
     most = max(-(-p["rows"] // files[k]) for k, p in small.items()) * 5 // 4 + 1
-    put = write(dealt.repartition(*partition_by, "_file").drop("_file"), root, table, partition_by=partition_by,
+    put = write(dealt.repartition(*tasks, *partition_by, "_file").drop("_file"), root, table, partition_by=partition_by,
                 max_rows_per_file=most)
     for k, p in small.items():
         if put.get(k, {}).get("rows") != p["rows"]:
