@@ -661,6 +661,43 @@ def test_lm_mixer_rows_follow_the_corpus(docs, monkeypatch):
     assert seen[1][0] > 2.5 * seen[0][0] > 0
 
 
+def test_lm_mixer_learns_from_every_row(docs, monkeypatch):
+    """In two parts, each mixed by the counts of the other; words coded once stand for all."""
+    seen = []
+
+    def learn(parts, learn=lm_score._learn):
+        seen.extend((rows.count(), words.agg(F.sum("n")).first()[0],
+                     sum(len((r["text"] or "").encode().split()) + 1 for r in rows.collect())) for rows, _, words, _ in parts)
+        learn(parts)
+
+    monkeypatch.setattr(lm_score, "_learn", learn)
+    rows = lm_score.score_documents(docs).collect()
+    assert sum(n for n, *_ in seen) == sum(not r["held_out"] for r in rows)
+    assert len(seen) == 2 and (seen[0][1], seen[1][1]) == (seen[1][2], seen[0][2])
+    assert {a + b for _, a, b in seen} == {rows[0]["train_tokens"]}
+
+
+def test_lm_words_coded_once():
+    """The bytes that stand for others give each word the cost of all its own bytes."""
+    rng = random.Random(3)
+    texts = [["".join(rng.choices("abc", k=rng.choice([1, 2, 3, 4, 9, 50]))).encode() for _ in range(rng.randrange(30))]
+             for _ in range(60)]
+    stream = np.frombuffer(lm_score.AFTER_TEXT.join(map(b" ".join, texts)) + lm_score.AFTER_TEXT, np.uint8)
+    key, _ = lm_score._hashed(texts, lm_score.WordHashes())
+    once = lm_score.Once.of(stream, key)
+    end = np.flatnonzero((stream == 32) | (stream == lm_score.END))
+    start = np.concatenate([[0], end[:-1] + 1])
+    cost, contexts = np.zeros(len(stream)), {}
+    for s, e in zip(start, end, strict=True):
+        s += 3 * (stream[s] == lm_score.BEFORE)
+        for at in range(s, e + 1):
+            near = bytes([lm_score.BEFORE] * 3 + stream[:at].tolist())[-3:]
+            cost[at] = contexts.setdefault((near, bytes(stream[max(s, at - 32):at + 1])), rng.random())
+    assert np.allclose(once.sums(np.where(once.times > 0, cost, 0)), np.add.reduceat(cost, start))
+    assert once.times.sum() == (stream != lm_score.BEFORE).sum() and (once.times > 1).any()
+    assert math.isclose(once.times @ cost, cost.sum())
+
+
 def test_packed_documents_make_padded_sequences(spark, docs, texts):
     """What the pipeline's last stage returns has the ids of every document, and
     whole sequences come from it."""
