@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,8 +13,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tripmart.llm import (decontam, lang_id, line_dedup, lm_score, near_dup, packing, quality, substrings, toxicity,
-                          url_filter)
+import corpus_pipeline
+from tripmart.llm import (common, decontam, lang_id, line_dedup, lm_score, near_dup, packing, quality, substrings,
+                          toxicity, url_filter)
 from tripmart.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -701,8 +703,6 @@ def test_lm_words_coded_once():
 def test_packed_documents_make_padded_sequences(spark, docs, texts):
     """What the pipeline's last stage returns has the ids of every document, and
     whole sequences come from it."""
-    import corpus_pipeline
-
     expected = Counter(r["ids"] for r in packing.tokenize(docs).collect())
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).cache()
     assert Counter(r["ids"] for r in packed.collect()) == expected
@@ -772,3 +772,22 @@ def test_every_language_is_learned(spark):
     blank = df.withColumn("lang", F.lit(None).cast("string")).union(spark.createDataFrame([(-1, "12 34", None)], df.schema))
     assert lang_id.keep_identified(blank).count() == len(rows)
     assert {r["lang_pred"] for r in lang_id.identify(blank).collect()} == {"und"}
+
+
+def test_model_memory_of_a_stream():
+    """What one stream of texts takes, with the sums over its words, per byte of it."""
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.integers(97, 123, 5).tolist()) for _ in range(5_000)]
+    texts = [[words[k] for k in rng.integers(0, len(words), 400)] for _ in range(400)]
+    stream = np.frombuffer(lm_score.AFTER_TEXT.join([*map(b" ".join, texts), b""]), np.uint8)
+    key, _ = lm_score._hashed(texts, lm_score.WordHashes())
+    cost = rng.random(len(stream)).astype(np.float32)
+    tracemalloc.start()
+    try:
+        once = lm_score.Once.of(stream, key)
+        sums = once.sums(cost)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(sums) == len(key) and np.isfinite(sums).all()
+    assert most < 34 * len(stream)
