@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.llm import decontam, lang_id, line_dedup, near_dup, packing
 from tripmart.llm.common import table, written
 
+#: Words that a packing worker remembers; the executors' heap is full by then.
+PACK_WORDS = 150_000
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (no text, no letter) go."""
@@ -41,7 +44,7 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents left, with their ids and their places in the
     sequences: what ``packing.sequences`` joins and pads."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, most_words=PACK_WORDS)
 
 
 STAGES = [

@@ -791,3 +791,20 @@ def test_model_memory_of_a_stream():
         tracemalloc.stop()
     assert len(sums) == len(key) and np.isfinite(sums).all()
     assert most < 34 * len(stream)
+
+
+def test_words_stay_known():
+    """More words than 150,000 are learned once; how many are remembered never
+    changes the ids."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    many = packing.WordTokenizer(path)
+    texts = [[b"w%d" % k for k in range(at, at + 20_000)] for at in range(0, 180_000, 20_000)]
+    first = [many.ids([t])[0] for t in texts]
+    many._learn = None  # nothing is left to learn
+    assert [many.ids([t])[0] for t in texts] == first
+    few = packing.WordTokenizer(path, 100)
+    odd = [[b"Word", b"word,", b"WORD", b"\xc3\x89t\xc3\xa9,", b"a1b", b"don't", b"x", b"x;", b"-;", b";"] * 3] + [t[:300] for t in texts[:3]]
+    assert few.ids(odd) == packing.WordTokenizer(path).ids(odd)
+    assert few.ids(odd[:1])[0] == np.array(few.tokenizer.encode(b" ".join(odd[0]).decode(), add_special_tokens=False).ids, "<u4").tobytes()

@@ -36,13 +36,13 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import as_array, bytes_of, given_back, per_worker, word_blocks, written
+from tripmart.llm.common import as_array, bytes_of, given_back, per_worker, text_batches, word_blocks, written
 
 SEQUENCE = 2048
 END_ID = 1
 PAD_ID = END_ID
 RANK_BLOCK = 50_000
-MOST_WORDS = 150_000
+MOST_WORDS = 400_000
 BATCH_BYTES = 1 << 21
 
 
@@ -53,7 +53,7 @@ def default_tokenizer() -> str:
 
 
 class WordTokenizer:
-    """Ids of words, little-endian 32-bit, remembering the last MOST_WORDS words
+    """Ids of words, little-endian 32-bit, remembering the last ``most`` words
     or more, up to twice as many.
 
     New words are tokenized many at a time, divided by a word of their own. If
@@ -65,11 +65,12 @@ class WordTokenizer:
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
     PLAIN = r"[\x21-\x7e\u00a1-\u012f\u0131-\u024f]+"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = MOST_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.most = most
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.divider = self._encode(self.DIVIDER)
@@ -96,18 +97,19 @@ class WordTokenizer:
     def _part(self, part: str) -> bytes:
         got = self.parts.get(part)
         if got is None:
-            if len(self.parts) > MOST_WORDS:
+            if len(self.parts) > self.most:
                 self.older_parts, self.parts = self.parts, {}
             got = self.older_parts.get(part)
             if got is None:
-                tokens = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.alphabet))
+                shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
+                tokens = self.tokenizer.model.tokenize(shown)
                 got = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
             self.parts[part] = got
         return got
 
     def _learn(self, words: set[bytes]) -> None:
         """Put words that are not known into known."""
-        if len(self.known) + len(words) > MOST_WORDS:
+        if len(self.known) + len(words) > self.most:
             self.older, self.known = self.known, {}
         plain = []
         for w in words:
@@ -116,10 +118,10 @@ class WordTokenizer:
                 self.known[w] = ids
                 continue
             t = w.decode("utf-8", "replace")
-            if self.direct and t.isascii() and t[:-1].isalpha() and t[-1] in ".,;:!?":
-                self.known[w] = self._part(t[:-1].lower()) + self._part(t[-1])
-            elif self.direct and t.isascii() and t.isalpha():
+            if self.direct and w.isalpha():  # of bytes: ASCII letters only
                 self.known[w] = self._part(t.lower())
+            elif self.direct and w[:-1].isalpha() and t[-1] in ".,;:!?":
+                self.known[w] = self._part(t[:-1].lower()) + self._part(t[-1])
             elif self.direct and "<|" not in t and self.plain.fullmatch(t):
                 self.known[w] = b"".join(map(self._part, self.split.findall(t.lower())))
             elif self.DIVIDER in t:
@@ -154,14 +156,15 @@ class WordTokenizer:
         return list(map(b"".join, found))
 
 
-def tokenize(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer: str | None = None, most_words: int = MOST_WORDS) -> DataFrame:
     """One row per piece: doc_id, start (ids before it), length, doc_tokens, and
     ids (little-endian unsigned 32-bit). tokenizer: a file that every executor
-    has at that path; by default that of the installed public tokenizers."""
+    has at that path; by default that of the installed public tokenizers.
+    most_words: how many words a worker remembers, for speed alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer or default_tokenizer()
-        words_to_ids = per_worker(f"tokenizer {path}", lambda: WordTokenizer(path))
+        words_to_ids = per_worker(f"tokenizer {path} {most_words}", lambda: WordTokenizer(path, most_words))
         end = np.array([END_ID], "<u4").tobytes()
 
         def pieces(doc_ids: pa.Array, texts: list[bytes]) -> pa.RecordBatch:
@@ -264,12 +267,14 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
                 F.col("s.offset").alias("offset"))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str | None = None, most_words: int = MOST_WORDS) -> DataFrame:
     """Per piece: doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id,
     offset."""
-    pieces = tokenize(docs, tokenizer).select("doc_id", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"),
+    pieces = tokenize(docs, tokenizer, most_words).select("doc_id", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"),
                                               "doc_tokens")
-    return pack(written(pieces, "pieces"))
+    with text_batches(docs.sparkSession):
+        pieces = written(pieces, "pieces")
+    return pack(pieces)
 
 
 def sequences(packed: DataFrame, size: int = SEQUENCE) -> DataFrame:
