@@ -8,6 +8,9 @@ Defined cases: null and empty texts, and texts without a letter, go in the first
 stage; null doc_ids, other null columns and further columns stay; repeated rows
 lose the same lines and one of them stays as the first of its class; an empty
 documents table gives empty results, an empty benchmark removes nothing.
+
+The first stage sets the session's Arrow batches to TEXT_ROWS rows: its result is
+computed after it returns, and an executor holds whole texts several times.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.llm import decontam, lang_id, line_dedup, near_dup, packing
-from tripmart.llm.common import table, written
+from tripmart.llm.common import ARROW_ROWS, TEXT_ROWS, table, written
 
 #: Words that a packing worker remembers; the executors' heap is full by then.
 PACK_WORDS = 150_000
@@ -23,6 +26,8 @@ PACK_WORDS = 150_000
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (no text, no letter) go."""
+    if not 0 < int(spark.conf.get(ARROW_ROWS)) <= TEXT_ROWS:
+        spark.conf.set(ARROW_ROWS, str(TEXT_ROWS))
     return lang_id.keep_identified(docs)
 
 

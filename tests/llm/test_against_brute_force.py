@@ -774,6 +774,40 @@ def test_every_language_is_learned(spark):
     assert {r["lang_pred"] for r in lang_id.identify(blank).collect()} == {"und"}
 
 
+def test_texts_travel_in_small_batches(spark, docs, monkeypatch):
+    """The jobs that send whole texts to Python send TEXT_ROWS rows at a time, and the
+    session is as it was afterwards."""
+    seen = {}
+
+    def noted(module, name):
+        def call(*args, was=getattr(module, name), **more):
+            seen[f"{module.__name__}.{name}"] = int(spark.conf.get(common.ARROW_ROWS))
+            return was(*args, **more)
+
+        monkeypatch.setattr(module, name, call)
+
+    spark.conf.set(common.ARROW_ROWS, "10000")
+    try:
+        for module, name in ((decontam, "randomised_svd"), (lm_score, "_learn"), (packing, "written")):
+            noted(module, name)
+        few = docs.limit(40)
+        decontam.contaminated(few, table(spark, SF, "benchmark")).collect()
+        lm_score.score_documents(few).collect()
+        packing.pack_documents(few).collect()
+        assert list(seen.values()) == [common.TEXT_ROWS] * 3
+        assert spark.conf.get(common.ARROW_ROWS) == "10000"
+        spark.conf.set(common.ARROW_ROWS, "7")
+        with common.text_batches(spark):
+            assert spark.conf.get(common.ARROW_ROWS) == "7"
+        corpus_pipeline.language(spark, few, "")
+        assert spark.conf.get(common.ARROW_ROWS) == "7"
+        spark.conf.set(common.ARROW_ROWS, "10000")
+        corpus_pipeline.language(spark, few, "")
+        assert int(spark.conf.get(common.ARROW_ROWS)) == common.TEXT_ROWS
+    finally:
+        spark.conf.unset(common.ARROW_ROWS)
+
+
 def test_model_memory_of_a_stream():
     """What one stream of texts takes, with the sums over its words, per byte of it."""
     rng = np.random.default_rng(3)

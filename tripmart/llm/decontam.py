@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import as_array, bytes_of, discard, row_key, text_blocks, written
+from tripmart.llm.common import as_array, bytes_of, discard, given_back, row_key, text_batches, text_blocks, written
 
 PASSAGE = 64
 WIDTHS = (8, 16, 32, 64)
@@ -159,7 +159,7 @@ def _tokenised(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.nulls(len(word), pa.int64()), pa.nulls(len(word), pa.binary()),
                                           pa.array(word, pa.int32()), pa.array(have[word])], ["doc_id", "ids", "word", "n"])
 
-    return written(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, word int, n long"), "word-ids")
+    return written(docs.select("doc_id", "text").mapInArrow(given_back(run), "doc_id long, ids binary, word int, n long"), "word-ids")
 
 
 def _passage_rows(texts: pa.Array, pad: int) -> Iterator[np.ndarray]:
@@ -274,7 +274,7 @@ def randomised_svd(rows: DataFrame, idf: np.ndarray, start: np.ndarray,
             return pa.table({"at": parts["at"][:1].cast(pa.int32()), "part": pa.array([out.tobytes()], pa.binary())})
 
         schema = "at int, part binary"
-        parts = rows.mapInArrow(run, schema).groupBy("at").applyInArrow(add, schema).collect()
+        parts = rows.mapInArrow(given_back(run), schema).groupBy("at").applyInArrow(add, schema).collect()
         shared.destroy()
         out = np.concatenate([np.frombuffer(r["part"]) for r in sorted(parts, key=lambda r: r["at"])])
         return out.reshape((rank, rank) if gram else q.shape)
@@ -424,7 +424,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_items: int = 5_000
     n_blocks = -(-items.count() // block_items)
     for block in range(n_blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        out = out.union(_search(docs, mine.collect(), schema))
+        with text_batches(spark):
+            out = out.union(_search(docs, mine.collect(), schema))
     return out
 
 
@@ -489,6 +490,6 @@ def _search(docs: DataFrame, items: list, schema: str) -> DataFrame:
                  *[pa.array(c, pa.float64()) for c in columns[2:]]],
                 ["doc_id", "item_id", "cosine", "covered", "answer"])
 
-    found = written(texts.mapInArrow(run, schema), "found")
+    found = written(texts.mapInArrow(given_back(run), schema), "found")
     discard(tokens)
     return found
