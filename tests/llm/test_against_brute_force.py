@@ -842,3 +842,19 @@ def test_words_stay_known():
     odd = [[b"Word", b"word,", b"WORD", b"\xc3\x89t\xc3\xa9,", b"a1b", b"don't", b"x", b"x;", b"-;", b";"] * 3] + [t[:300] for t in texts[:3]]
     assert few.ids(odd) == packing.WordTokenizer(path).ids(odd)
     assert few.ids(odd[:1])[0] == np.array(few.tokenizer.encode(b" ".join(odd[0]).decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_marks_are_tokenized_once():
+    """A word with a mark after it costs one lookup of its letters; words that are
+    remembered from before are not tokenized again."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = packing.WordTokenizer(path, 100)
+    asked, part = [], t._part
+    t._part = lambda x: asked.append(x) or part(x)
+    words = [b"".join((bytes([97 + k % 26]) * (1 + k // 26), b".,;:!?"[k % 6:k % 6 + 1])) for k in range(90)]
+    first = t.ids([words])
+    assert len(asked) == len(words)
+    assert t.ids([words[:50], words[50:], [b"New", b"words", *[b"q%d" % k for k in range(40)]], words])[3] == first[0]
+    assert not {x for x in asked[len(words):] if x.isalpha()} - {"new", "words", "q"}

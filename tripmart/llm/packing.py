@@ -52,6 +52,10 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Packers of few ids.
+_packed = [struct.Struct(f"<{n}I").pack for n in range(16)]
+
+
 class WordTokenizer:
     """Ids of words, little-endian 32-bit, remembering the last ``most`` words
     or more, up to twice as many.
@@ -86,6 +90,8 @@ class WordTokenizer:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = {b: 256 + k for k, b in enumerate(hidden)}
+        self.merges = self.tokenizer.model.tokenize
+        self.marks = {m.encode(): self._part(m) for m in ".,;:!?"} if self.direct else {}
 
     def forget(self) -> None:
         """At the end of a task: keep the latest words only."""
@@ -102,30 +108,32 @@ class WordTokenizer:
             got = self.older_parts.get(part)
             if got is None:
                 shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
-                tokens = self.tokenizer.model.tokenize(shown)
-                got = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+                tokens = self.merges(shown)
+                got = _packed[len(tokens)](*[t.id for t in tokens]) if len(tokens) < len(_packed) \
+                    else struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
             self.parts[part] = got
         return got
 
     def _learn(self, words: set[bytes]) -> None:
         """Put words that are not known into known."""
-        if len(self.known) + len(words) > self.most:
-            self.older, self.known = self.known, {}
+        known, older, part_of, marks, direct = self.known, self.older, self._part, self.marks, self.direct
         plain = []
         for w in words:
-            ids = self.older.get(w)
+            ids = older.get(w)
             if ids is not None:
-                self.known[w] = ids
+                known[w] = ids
+                continue
+            if direct and w.isalpha():  # of bytes: ASCII letters only
+                known[w] = part_of(w.decode().lower())
+                continue
+            if direct and w[-1:] in marks and w[:-1].isalpha():
+                known[w] = part_of(w[:-1].decode().lower()) + marks[w[-1:]]
                 continue
             t = w.decode("utf-8", "replace")
-            if self.direct and w.isalpha():  # of bytes: ASCII letters only
-                self.known[w] = self._part(t.lower())
-            elif self.direct and w[:-1].isalpha() and t[-1] in ".,;:!?":
-                self.known[w] = self._part(t[:-1].lower()) + self._part(t[-1])
-            elif self.direct and "<|" not in t and self.plain.fullmatch(t):
-                self.known[w] = b"".join(map(self._part, self.split.findall(t.lower())))
+            if direct and "<|" not in t and self.plain.fullmatch(t):
+                known[w] = b"".join(map(part_of, self.split.findall(t.lower())))
             elif self.DIVIDER in t:
-                self.known[w] = self._encode(t).tobytes()
+                known[w] = self._encode(t).tobytes()
             else:
                 plain.append((w, t))
         for k in range(0, len(plain), 20_000):
@@ -138,22 +146,21 @@ class WordTokenizer:
             starts = np.concatenate([[0], at + n]) * 4
             ends = np.concatenate([at, [len(ids)]]) * 4
             if len(starts) != len(part):  # a tokenizer whose splits reach across white space
-                self.known.update((w, self._encode(t).tobytes()) for w, t in part)
+                known.update((w, self._encode(t).tobytes()) for w, t in part)
                 continue
             raw = ids.tobytes()
-            self.known.update((w, raw[a:b]) for (w, _), a, b in zip(part, starts.tolist(), ends.tolist(), strict=True))
+            known.update((w, raw[a:b]) for (w, _), a, b in zip(part, starts.tolist(), ends.tolist(), strict=True))
 
     def ids(self, texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each text, given as its words."""
-        found = [list(map(self.known.get, words)) for words in texts]
-        new = {w for words, ids in zip(texts, found, strict=True) if None in ids
-               for w, x in zip(words, ids, strict=True) if x is None}
+        words = set().union(*texts)
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > self.most:
+            self.older, self.known, new = self.known, {}, words
         if new:
             self._learn(new)
-            for words, ids in zip(texts, found, strict=True):
-                if None in ids:
-                    ids[:] = [self.known[w] if x is None else x for w, x in zip(words, ids, strict=True)]
-        return list(map(b"".join, found))
+        known = self.known.__getitem__
+        return [b"".join(map(known, own)) for own in texts]
 
 
 def tokenize(docs: DataFrame, tokenizer: str | None = None, most_words: int = MOST_WORDS) -> DataFrame:
