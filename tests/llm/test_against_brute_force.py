@@ -858,3 +858,19 @@ def test_marks_are_tokenized_once():
     assert len(asked) == len(words)
     assert t.ids([words[:50], words[50:], [b"New", b"words", *[b"q%d" % k for k in range(40)]], words])[3] == first[0]
     assert not {x for x in asked[len(words):] if x.isalpha()} - {"new", "words", "q"}
+
+
+def test_line_sets_are_made_once(docs):
+    """The plan makes the ordered set of a line once, and asks for words before that."""
+    plan = line_dedup._sets(docs, line_dedup._bin_levels(docs))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array") == plan.count("array_distinct") == 1
+
+
+def test_rare_words_lead(spark):
+    """Lines of rare words and of frequent ones, 4,000 of these, share no prefix words."""
+    rng = random.Random(2)
+    rows = [(k, " ".join([*[f"w{8 * k + j}" for j in range(8)], *[f"often{j}" for j in rng.sample(range(4_000), 20)]]))
+            for k in range(5_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prefixes = line_dedup._prefix_rows(line_dedup._sets(docs, line_dedup._bin_levels(docs)))
+    assert prefixes.groupBy("word").count().where("count > 1").count() < 50
